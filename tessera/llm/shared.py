@@ -24,6 +24,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Let Spark pass at most ``rows`` rows at a time to Python in this session, so that batches of whole texts stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
