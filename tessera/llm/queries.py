@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, simhash
+from tessera.llm import decontaminate, langid, quality, sentencepiece_nbest, simhash
+
+#: The vocabulary file that encoding takes by default.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +67,23 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc.doc_id", "held_out", "lang_pred", "score", "margin", "accepted")
+
+
+@query()
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(documents, read(spark, sf_dir, "labels"), ~langid.in_part("doc_id", 4, 2))
+    found = quality.score(documents, model).select("doc.doc_id", "score")
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return found.select("doc_id", langid.in_part("doc_id", 4, 2).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_nbest.encode(read(spark, sf_dir, "documents"), PIECES)
