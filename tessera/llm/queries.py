@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, langid, quality, sentencepiece_nbest, simhash
+from tessera.llm import decontaminate, langid, packing, quality, sentencepiece_nbest, simhash
 
 #: The vocabulary file that encoding takes by default.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -87,3 +87,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_nbest.encode(read(spark, sf_dir, "documents"), PIECES)
+
+
+@query()
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")

@@ -1,16 +1,13 @@
 """The pipeline's rows against plain Python applied stage by stage."""
 
 import numpy as np
-import pytest
 
-corpus_pipeline = pytest.importorskip("corpus_pipeline")
-
-from tests.llm.test_decontaminate import brute as hits  # noqa: E402
-from tests.llm.test_decontaminate import words  # noqa: E402
-from tests.llm.test_simhash import brute_classes, brute_fingerprint  # noqa: E402
-
-from tessera.llm import langid, quality, sentencepiece_nbest  # noqa: E402
-from tessera.llm.queries import PIECES, read  # noqa: E402
+import corpus_pipeline
+from tessera.llm import langid, quality, sentencepiece_nbest
+from tessera.llm.queries import PIECES, read
+from tests.llm.test_decontaminate import brute as hits
+from tests.llm.test_decontaminate import words
+from tests.llm.test_simhash import brute_classes, brute_fingerprint
 
 SF = "/root/testdata/sf0.001"
 
