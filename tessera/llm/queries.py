@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, langid, packing, quality, sentencepiece_nbest, simhash
+from tessera.llm import decontaminate, langid, packing, quality, sentencepiece_nbest, simhash, warc
+from tessera.llm.shared import fresh_path
 
 #: The vocabulary file that encoding takes by default.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -93,3 +94,18 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
+@query("""
+    WITH p AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+           CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+    FROM p LEFT JOIN f USING (payload_digest)""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write(warc.resolve(read(spark, sf_dir, "pages")), path)
+    found = warc.join_revisits(warc.read(spark, path))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
