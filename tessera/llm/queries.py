@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat_template, decontaminate, langid, packing, quality, sentencepiece_nbest, simhash, warc
+from tessera.llm import chat_template, decontaminate, html_paths, langid, packing, quality, sentencepiece_nbest, simhash, warc
 from tessera.llm.shared import fresh_path
 
 #: The vocabulary file that encoding takes by default.
@@ -133,3 +133,9 @@ def with_probe(rows: DataFrame) -> DataFrame:
     FROM e GROUP BY conv_id""")
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_template.digests(chat_template.format_conversations(with_probe(read(spark, sf_dir, "conversations"))))
+
+
+@query()
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_paths.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
