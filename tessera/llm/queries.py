@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat_template, decontaminate, html_paths, langid, packing, quality, sentencepiece_nbest, simhash, warc
+from tessera.llm import ann_graph, chat_template, decontaminate, html_paths, langid, packing, quality, sentencepiece_nbest, simhash, warc
 from tessera.llm.shared import fresh_path
 
 #: The vocabulary file that encoding takes by default.
@@ -139,3 +139,9 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_paths.extract(read(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query()
+def op1_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = read(spark, sf_dir, "embeddings")
+    return ann_graph.search(ann_graph.build_index(embeddings), embeddings.filter("vec_id % 20 = 0"))
