@@ -5,9 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tessera.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,20 +23,9 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-@query("""
-    SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty,
-           round(avg(l_extendedprice), 4) AS avg_price, count(*) AS n_rows
-    FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-01'
-    GROUP BY l_returnflag, l_linestatus""")
-def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_shipdate") <= F.expr("timestamp_ntz'1998-09-01'"))
-        .groupBy("l_returnflag", "l_linestatus")
-        .agg(
-            F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
-            F.round(F.avg("l_extendedprice"), 4).alias("avg_price"),
-            F.count(F.lit(1)).alias("n_rows"),
-        )
-        .orderBy("l_returnflag", "l_linestatus")
-    )
+def load() -> None:
+    """Import the modules whose queries register themselves."""
+    from tessera.plans import aggregates, expressions, joins, relational, scans, storage  # noqa: F401
+
+
+load()
