@@ -13,6 +13,7 @@ import json
 import re
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +70,7 @@ class Registry:
         self.servers: dict[str, Server] = {}
         self.tables: dict[str, Table] = {}
         self._secrets: dict[tuple[str, str], dict[str, str]] = {}
+        self._stale: set[str] = set()  # tables to look up anew before the next use
 
     # servers and users
 
@@ -87,8 +89,7 @@ class Registry:
         server = self.server(name)
         server.options |= validated(options, SERVER)
         self._open(server)
-        for table in [t for t in self.tables.values() if t.server == name]:
-            self._bind(table)
+        self._stale |= {t.name for t in self.tables.values() if t.server == name}
         return server
 
     def drop_server(self, name: str, cascade: bool = False) -> None:
@@ -156,11 +157,22 @@ class Registry:
     def drop_table(self, name: str) -> None:
         if self.tables.pop(name, None) is None:
             raise RegistryError(f"no table {name!r}")
+        self._stale.discard(name)
         self.spark.catalog.dropTempView(name)
 
+    def _refresh(self) -> None:
+        """Look up stale tables; one whose source is not there (yet) has no view until it is."""
+        for name in sorted(self._stale):
+            try:
+                self._bind(self.tables[name])
+                self._stale.discard(name)
+            except AnalysisException:
+                self.spark.catalog.dropTempView(name)
+
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             raise RegistryError(f"no table {name!r}")
+        self._refresh()
         return self.spark.table(quote_name(name))
 
     def _source(self, table: Table) -> str:
@@ -216,12 +228,14 @@ class Registry:
 
     def query(self, sql: str, args: dict | list | None = None) -> DataFrame:
         """A query over the named tables, with ``:name`` or ``?`` parameters."""
+        self._refresh()
         return self.spark.sql(sql, args=args)
 
     def execute(self, server: str, sql: str) -> DataFrame:
         """Any statement in the server's database; a failure raises, without what may be secret."""
         if m := _REFUSED.match(sql):
             getattr(writer, m[1].lower())()
+        self._refresh()
         before = self.spark.catalog.currentDatabase()
         self.spark.catalog.setCurrentDatabase(self.server(server).database)
         try:
