@@ -20,6 +20,7 @@ def small_vocabulary():
 def all_paths(v, s):
     """Scores of every segmentation of the marked text, by enumeration."""
     into = v.edges(s)
+    into = [[(i, x, tuple(ids)) for i, x, ids in ending] for ending in into]
     paths = {0: [(0.0, ())]}
     for j in range(1, len(s) + 1):
         paths[j] = [(a + score, ids + more) for i, score, more in into[j] for a, ids in paths[i]]
@@ -60,7 +61,7 @@ def test_memory_is_bounded(monkeypatch):
     v = small_vocabulary()
     a, b = sp.Encoder(v), sp.Encoder(small_vocabulary())
     text = " ".join("".join(p) for p in itertools.product("abc", repeat=4))
-    assert a.encode(text) == b.encode(text) and len(a.memory) <= 5
+    assert a.encode(text) == b.encode(text) and len(a.memory) <= 5 and len(a.memory.before) <= 5
 
 
 def test_tables(spark):
