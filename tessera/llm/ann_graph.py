@@ -154,7 +154,9 @@ def build_index(embeddings: DataFrame, k: int = 20, shard_rows: int = SHARD_ROWS
     found = materialize(points(embeddings, k, vec_id, vector), "points")
     shards = max(1, -(-found.count() // shard_rows))
     # lengths within a shard are of one order, else the longest vectors would hide the differences of the others
-    band = F.floor(F.log2(F.array_max(F.transform("vec", F.abs))) / 2) + 2000
+    most = F.array_max(F.transform("vec", F.abs))
+    length = F.log2(most) + F.log2(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / most) * (x / most))) / 2
+    band = F.floor((length + 1) / 2) + 2000  # unit vectors lie in the middle of a band
     dealt = found.select(F.size("vec").alias("dim"), (F.pmod(F.xxhash64("vec"), F.lit(shards)) + shards * band).cast("int").alias("shard"), "vec", "members")
 
     def build(group: pa.Table) -> pa.Table:
