@@ -76,7 +76,11 @@ def fit(documents: DataFrame, learn: Column, lang_col: str = "lang", text_col: s
     counts = {r.lang: r["count"] for r in texts.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    chosen = texts.withColumn("n", rank).filter(F.col("n") <= SAMPLE).select("lang", "h")  # SAMPLE rows of each language at most
+    # hashes are uniform: the SAMPLE smallest lie among the first three times as many, so no task ranks a whole language
+    limits = [(x, -(2**63) + min(2**64, 2**64 * 3 * SAMPLE // n) - 1) for x, n in counts.items()]
+    limit = documents.sparkSession.createDataFrame(limits, "lang string, limit bigint")
+    chosen = texts.join(F.broadcast(limit), "lang").filter(F.col("h") <= F.col("limit"))
+    chosen = chosen.withColumn("n", rank).filter(F.col("n") <= SAMPLE).select("lang", "h")  # SAMPLE rows of each language at most
     start = 1 + F.pmod("h", F.greatest(F.length("text") - FRAGMENT, F.lit(1)))
     fragments = known.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", F.substr("text", start.cast("int"), F.lit(FRAGMENT)).alias("part"))
     parts: dict[str, list[bytes]] = {}
