@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize
+from tessera.llm.shared import materialize, share
 
 WINDOW = 13
 #: Bytes of window text in one automaton. A benchmark beyond that is matched in several passes.
@@ -107,11 +107,11 @@ def _offsets(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
 
 def _pass(rows: DataFrame, automaton: ahocorasick.Automaton) -> DataFrame:
     """Scan every row's text with one automaton and add what it finds to the row's spans and items."""
-    shared = rows.sparkSession.sparkContext.broadcast(automaton)
+    shared = share(rows.sparkSession, automaton)
     span = pa.struct([(n, pa.int32()) for n in ("first", "last", "start", "end")])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
+        found = shared()
         for batch in batches:
             n_words, spans, items = [], [], []
             for text, before, owners in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "items"))):

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import small_batches
+from tessera.llm.shared import share, small_batches
 
 UNDETERMINED = "und"
 #: Learning takes fragments of ``FRAGMENT`` characters from ``SAMPLE`` different texts of each language, those whose hashes are smallest.
@@ -93,10 +93,10 @@ def fit(documents: DataFrame, learn: Column, lang_col: str = "lang", text_col: s
 def predict(documents: DataFrame, model: Model, text_col: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
     """Per row: the input row as ``doc``, lang_pred, score (the choice's share of likelihood), margin and accepted."""
     small_batches(documents.sparkSession)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = share(documents.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = shared.value.compressors()
+        compressors = shared().compressors()
         names = list(compressors)
         for batch in batches:
             out = []

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import small_batches
+from tessera.llm.shared import share, small_batches
 
 PASSAGE = 1024
 MAX_BAGS, MAX_PASSAGES = 4000, 48
@@ -173,13 +173,14 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "d
 def score(documents: DataFrame, model: Network | Constant, text_col: str = "text") -> DataFrame:
     """Per row: the input row as ``doc`` and its score, from every passage of its text."""
     small_batches(documents.sparkSession)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = share(documents.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = shared()
         for batch in batches:
             scores = []
             for text in batch.column("text"):
-                scores.append(float(shared.value.forward(encode(passages(text.as_py())), np.zeros(1, int))[0][0]))
+                scores.append(float(network.forward(encode(passages(text.as_py())), np.zeros(1, int))[0][0]))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(scores, pa.float64())], ["doc", "score"])
 
     rows = documents.select(F.struct("*").alias("doc"), F.col(text_col).cast("string").alias("text"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import small_batches
+from tessera.llm.shared import share, small_batches
 
 MARK = "▁"
 INFINITE = float("inf")
@@ -267,12 +267,12 @@ def encode(documents: DataFrame, model_file: str, n_best: int = N_BEST, doc_id:
     """
     spark = documents.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(Memory(Vocabulary.load(model_file)))  # a worker's tasks share the memory
+    shared = share(spark, Memory(Vocabulary.load(model_file)))  # a worker's tasks share the memory
     edit = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
     other = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value.vocabulary, n_best, shared.value)
+        encoder = Encoder(shared().vocabulary, n_best, shared())
         for batch in batches:
             held, sizes, scores, others, same = [], [], [], [], []
             for text in batch.column("text"):
@@ -301,10 +301,10 @@ def encode(documents: DataFrame, model_file: str, n_best: int = N_BEST, doc_id:
 
 def decode(encoded: DataFrame, model_file: str, id_col: str = "ids", out: str = "text") -> DataFrame:
     """The rows of ``encoded`` (as ``row``) with the text of their ids; null ids give a null text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
+    shared = share(encoded.sparkSession, Vocabulary.load(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared())
         for batch in batches:
             texts = [None if ids is None else encoder.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", out])

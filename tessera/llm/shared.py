@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,6 +35,22 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast ``value``; the result gives it inside tasks, the same object to all tasks of a worker.
+
+    It is pickled with its class, as executors need not have this package.
+    """
+    held = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+    def get() -> Any:
+        found = held.value
+        if "live" not in found:
+            found["live"] = pickle.loads(found["pickled"])
+        return found["live"]
+
+    return get
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -172,9 +172,9 @@ def _join(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _plan(n: int, max_bits: int) -> tuple[int, int]:
-    """(blocks, agreeing blocks): the fewest copies of each fingerprint that leave about 64 or fewer to a random key."""
+    """(blocks, agreeing blocks): the fewest copies of each fingerprint that leave about 512 or fewer to a random key."""
     for blocks in range(max_bits + 1, BITS + 1):
-        if n <= 64 << (BITS * (blocks - max_bits) // blocks):
+        if n <= 512 << (BITS * (blocks - max_bits) // blocks):
             return blocks, blocks - max_bits
     return BITS, BITS - max_bits
 
