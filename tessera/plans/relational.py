@@ -49,7 +49,7 @@ def window_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events")
     # the mean of a type by aggregation and join: a window would put each type into one task
-    means = rows.groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("type_mean"))
+    means = rows.groupBy(F.col("event_type").alias("of_type")).agg(F.round(F.avg("value"), 6).alias("type_mean"))
     by_user = Window.partitionBy("user_id")
     framed = rows.select(
         "event_id",
@@ -57,7 +57,7 @@ def window_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.sum("value").over(by_user.orderBy("ts", "event_id").rowsBetween(-2, 0)), 4).alias("last_three"),
         F.count(F.lit(1)).over(by_user.orderBy("event_id").rangeBetween(-500, 500)).alias("close_by"),
     )
-    return framed.join(means, "event_type").select("event_id", "last_three", "close_by", "type_mean")
+    return framed.join(means, F.col("event_type").eqNullSafe(F.col("of_type"))).select("event_id", "last_three", "close_by", "type_mean")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 50")

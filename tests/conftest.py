@@ -12,7 +12,7 @@ from tessera.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("local[4]", 4)
+    session = get_session("local[4]", 4, **{"spark.sql.maxMetadataStringLength": "2000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
