@@ -38,6 +38,8 @@ INFINITE = float("inf")
 #: Stands for a literal U+2581 of the text inside the lattice; no UTF-8 text holds a lone surrogate.
 _LITERAL_MARK = "\udc00"
 N_BEST = 4
+#: Characters taken as letters where stretches are cut, as a class of a pattern.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Cost of a character without a piece, below the lowest score.
 UNKNOWN_PENALTY = 10.0
 #: Scores at or below this mark pieces of last resort, which do not set the cost of unknown characters.
@@ -64,20 +66,25 @@ class Vocabulary:
                 node[c] = (follow, *self.of[p]) if k == len(p) - 1 else (follow, piece, score)
                 node = follow
         self.unknown = min((s for _, s in self.of.values() if s > LAST_RESORT), default=0.0) - UNKNOWN_PENALTY
-        alphabet = set("".join(self.of))
         if any(MARK in p.lstrip(MARK) for p in self.of):
             raise ValueError("a piece holds the mark after other characters")
-        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in alphabet and chr(c) != " ")
-        signs = "".join(re.escape(chr(c)) for c in range(33, 127) if chr(c) in alphabet and not chr(c).isalpha())
-        marks, rest = f"{MARK}*", f"{MARK}{alone}{signs}"
-        if signs and any(re.search(f"[^{MARK}{signs}][{signs}]", p) for p in self.of):
-            signs, rest = "", f"{MARK}{alone}"
-        runs = [f"[{alone}]"] * bool(alone) + ([f"{marks}[{signs}]*[^{rest}]+", f"{marks}[{signs}]+"] if signs else [f"{marks}[^{rest}]+"]) + [f"{MARK}+"]
-        self.stretches = re.compile("|".join(runs))
+        self.stretches = re.compile(self._stretches())
         self.decoded = [b"" if i in control else p.replace(MARK, " ").encode("utf-8", "surrogatepass") for i, p in enumerate(pieces)]
         for byte, i in byte_ids.items():
             self.decoded[i] = bytes([byte])
 
+    def _stretches(self) -> str:
+        """The pattern whose matches are the stretches of a marked text."""
+        alphabet = set("".join(self.of))
+        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in alphabet and chr(c) != " ")
+        signs = "".join(re.escape(chr(c)) for c in range(33, 127) if chr(c) in alphabet and not chr(c).isalpha())
+        start = f"[{alone}]|{MARK}++(?![^{MARK}{alone}])|{MARK}*" if alone else f"{MARK}++(?![^{MARK}])|{MARK}*"
+        if not signs or any(re.search(f"[{LETTERS}][{signs}]", p) for p in self.of):
+            return f"{start}[^{MARK}{alone}]+"
+        # no letter before a sign, except at the end of a match
+        neither, not_letter = f"[^{MARK}{alone}{signs}{LETTERS}]", f"[^{MARK}{alone}{LETTERS}]"
+        return f"{start}(?:{not_letter}+(?:[{LETTERS}]+(?:{neither}{not_letter}*)?)*|(?:[{LETTERS}]+(?:{neither}{not_letter}*)?)+)"
+
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         from sentencepiece import SentencePieceProcessor
@@ -190,7 +197,7 @@ class Memory(dict):
         return value
 
 
-def _combine(stretches: list[str], loss: np.ndarray, vocabulary: Vocabulary, n: int) -> list[tuple[float, list[tuple[int, tuple[int, ...]]]]]:
+def _combine(stretches: list[str], best: tuple[bytes, ...], loss: np.ndarray, vocabulary: Vocabulary, n: int) -> list[tuple[float, list[tuple[int, tuple[int, ...]]]]]:
     """The n best choices over a text's stretches, the best itself left out: (loss, [(stretch, ids)]).
 
     Only the n-1 stretches whose second best loses least can differ from their best in the result.
@@ -199,7 +206,7 @@ def _combine(stretches: list[str], loss: np.ndarray, vocabulary: Vocabulary, n:
     at = at[np.lexsort((at, loss[at]))][: n - 1]
     slots = []
     for k in at[loss[at] < INFINITE].tolist():
-        first = tuple(vocabulary.viterbi(stretches[k])[0])
+        first = tuple(memoryview(best[k]).cast("i"))
         options = vocabulary.n_best(stretches[k], n)  # of equal best ones, that of the Viterbi pass comes first
         slots.append((k, [(options[0][0], first), *(o for o in options if o[1] != first)][:n]))
     lost = [[options[0][0] - o[0] for o in options] for _, options in slots]
@@ -235,7 +242,7 @@ class Encoder:
         ids, score = b"".join(best), float(sum(scores))
         others = []
         if self.n > 1:
-            chosen = _combine(stretches, np.array(loss), self.vocabulary, self.n)
+            chosen = _combine(stretches, best, np.array(loss), self.vocabulary, self.n)
             places = list(itertools.accumulate(map(len, best), initial=0)) if chosen else []
             for lost, changes in chosen:
                 others.append((score - lost, [{"at": places[k] // 4, "n": len(best[k]) // 4, "ids": list(other)} for k, other in changes]))

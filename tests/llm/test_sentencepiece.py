@@ -56,6 +56,21 @@ def test_round_trip_with_the_public_vocabulary():
         assert all(encoder.decode(sp.apply_edits(ids, e)) == t for _, e in others)
 
 
+def test_no_piece_crosses_a_cut():
+    v = sp.Vocabulary.load(MODEL)
+    rng = random.Random(8)
+    pieces = list(v.of)
+    for _ in range(3000):
+        text = sp.MARK + "".join(rng.choice(pieces) if rng.random() < 0.5 else rng.choice(["a", ".", ",", "é", "²", "”", "\n", sp.MARK, "7", "ß", "क", "ा", "\t", "Z!"]) for _ in range(rng.randint(1, 8)))
+        cuts = v.stretches.findall(text)
+        assert "".join(cuts) == text and all(cuts)
+        at = 0
+        for s in cuts[:-1]:
+            at += len(s)
+            for i in range(max(0, at - v.longest), at):
+                assert not any(text[i:j] in v.of for j in range(at + 1, min(len(text), i + v.longest) + 1)), (text, at)
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(sp, "REMEMBERED", 5)
     v = small_vocabulary()
