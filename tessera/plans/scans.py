@@ -143,3 +143,9 @@ def param_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_nationkey, {'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey}.n_name AS whole_name FROM nation")
 def whole_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", F.struct("*").alias("row")).select("n_nationkey", F.col("row.n_name").alias("whole_name"))
+
+
+@query("SELECT 'nation.parquet' AS file, count(*) AS n FROM nation")
+def scan_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """System columns: the file that a row comes from."""
+    return table(spark, sf_dir, "nation").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
