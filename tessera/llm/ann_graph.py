@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import materialize
 
 SHARD_ROWS = 8192
-DEGREE, BEAM, BUILD_BEAM = 32, 160, 64
+DEGREE, BEAM, BUILD_BEAM = 48, 192, 96
 ALPHA = 1.2
 #: Points inserted and queries searched at once, and candidates expanded at once.
 BATCH, WIDTH = 256, 3
