@@ -30,7 +30,7 @@ from tessera.llm.shared import share, small_batches
 PASSAGE = 1024
 MAX_BAGS, MAX_PASSAGES = 4000, 48
 #: Widths of the encoder and of the attention, and steps of training.
-HIDDEN, ATTENTION, STEPS, RATE = 24, 12, 400, 0.02
+HIDDEN, ATTENTION, STEPS, RATE = 24, 12, 200, 0.03
 THRESHOLD = 0.7
 
 _CLASSES = (
