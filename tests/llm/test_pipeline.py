@@ -44,3 +44,31 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).schema.simpleString() == docs.schema.simpleString()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "decontamination", "encoding"]
+
+
+def odd_documents(spark):
+    """Nulls in any column, empty and very long texts, repeated rows and ids, a clashing extra column."""
+    docs = read(spark, SF, "documents")
+    long = "Words that are plain enough for any reader to follow along. " * 20_000
+    rows = [(None, "no id but a plain text of some words", None, None, None, None), (900_001, None, "en", "s", 0, "x"), (900_002, "", None, "s", None, "x"), (900_003, long, "en", None, len(long), None), (900_004, " \n\t ", "en", "s", 3, "x")]
+    rows += [rows[0], rows[3], (900_003, "another text under an id that is taken already", "en", "s", 40, "y")]
+    schema = docs.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ").replace(",", ", ") + ", doc string"
+    return docs.selectExpr("*", "'d' AS doc").limit(60).unionByName(spark.createDataFrame(rows, schema))
+
+
+def test_stages_on_odd_documents(spark):
+    docs = odd_documents(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        got = out.collect()
+        assert len(got) <= docs.count()
+        if name != "encoding":
+            assert out.columns == docs.columns
+        if name in ("near_duplicates", "decontamination"):
+            assert {900_001, 900_003} & {r.doc_id for r in got}
+    assert len(corpus_pipeline.STAGES[2][1](spark, docs.filter("doc_id = 900003"), SF).collect()) == 2
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = read(spark, SF, "documents").limit(0)
+    assert all(stage(spark, docs, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
