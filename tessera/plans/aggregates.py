@@ -29,6 +29,14 @@ def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT l_returnflag, round(sum(l_quantity), 2) AS sum_qty, round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order
+    FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-01' GROUP BY l_returnflag""")
+def discount_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") <= F.expr("timestamp_ntz'1998-09-01'")).groupBy("l_returnflag")
+    return rows.agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.avg("l_discount"), 6).alias("avg_disc"), F.count(F.lit(1)).alias("count_order"))
+
+
 @query("SELECT count(*) AS n, count(l_tax) AS n_tax, round(sum(l_extendedprice), 2) AS total, round(avg(l_discount), 6) AS mean, min(l_shipdate) AS first_day, max(l_quantity) AS most FROM lineitem")
 def agg_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").agg(

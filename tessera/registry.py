@@ -154,6 +154,19 @@ class Registry:
         self.tables[name] = table
         return found
 
+    def create_stored_table(self, server: str, name: str, columns: dict[str, str] | T.StructType, replace: bool = False) -> None:
+        """An empty table in the server's database, its columns given by SQL type names."""
+        schema = struct_type(columns) if isinstance(columns, dict) else columns
+        writer.create_table_as((self.server(server).database, name), self.spark.createDataFrame([], schema), replace)
+
+    def store(self, server: str, name: str, rows: DataFrame, replace: bool = False) -> None:
+        """CREATE [OR REPLACE] TABLE AS: rows as a table in the server's database."""
+        writer.create_table_as((self.server(server).database, name), rows, replace)
+
+    def copy_to(self, sql: str, path: str, args: dict | list | None = None) -> None:
+        """COPY (query) TO a Parquet folder."""
+        writer.copy_to_parquet(self.query(sql, args), path)
+
     def drop_table(self, name: str) -> None:
         if self.tables.pop(name, None) is None:
             raise RegistryError(f"no table {name!r}")
@@ -196,8 +209,8 @@ class Registry:
         found.createOrReplaceTempView(table.name)
         return found
 
-    def import_schema(self, server: str, source: str | None = None, only: set[str] | None = None, skip: set[str] = frozenset()) -> list[str]:
-        """Name every table of the server's database, every Parquet file of a folder, or one Parquet file by its stem.
+    def import_schema(self, server: str, source: str | None = None, only: set[str] | None = None, skip: set[str] = frozenset(), prefix: str = "") -> list[str]:
+        """Name (with ``prefix`` before it) every table of the server's database, every Parquet file of a folder, or one Parquet file by its stem.
 
         A table that cannot be read is an error, not left out.
         """
@@ -216,8 +229,8 @@ class Registry:
         if only and (missing := only - set(found)):
             raise RegistryError(f"nothing named {min(missing)!r} to import")
         for name in names:
-            self.create_table(name, server, table=found[name])
-        return names
+            self.create_table(prefix + name, server, table=found[name])
+        return [prefix + name for name in names]
 
     def _children(self, folder: str) -> list[str]:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
