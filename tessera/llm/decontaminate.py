@@ -56,9 +56,15 @@ def window_table(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item
 
 
 def _automata(windows: DataFrame, limit: int) -> Iterator[ahocorasick.Automaton]:
-    """Automata of at most ``limit`` bytes of patterns and item ids, read from the cluster part by part."""
+    """Automata of at most ``limit`` bytes of patterns and item ids.
+
+    Windows within the limit are collected at once, more of them part by part.
+    """
+    windows = materialize(windows, "windows")
+    item_bytes = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, x: n + F.length(x))
+    total = windows.agg(F.sum(F.length("pattern") + item_bytes)).first()[0] or 0
     found, size = ahocorasick.Automaton(), 0
-    for row in windows.toLocalIterator():
+    for row in windows.collect() if total <= limit else windows.toLocalIterator():
         found.add_word(row.pattern, (len(row.pattern), tuple(row["items"])))
         size += len(row.pattern) + sum(map(len, row["items"]))
         if size >= limit:
