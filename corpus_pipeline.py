@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, quality, sentencepiece_nbest, simhash
+from tessera.llm import decontaminate, langid, near_copies, quality, sentencepiece_nbest
 from tessera.llm.queries import PIECES, read
 from tessera.llm.shared import fresh_path
 
@@ -25,8 +25,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that SimHash links connect, the document with the smallest id."""
-    return simhash.keep_one(docs)
+    """Of each group that a Jaccard similarity of 0.8 over five-word shingles connects, the document with the smallest id."""
+    return near_copies.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
