@@ -4,8 +4,8 @@ A page is read into blocks of text, each with the path of elements from the root
 element that holds it. Per path, text length and punctuation are aggregated over its blocks; each
 block's ratio (of its path, less what is link text) is smoothed with its neighbours in page order;
 the smoothed ratios are fused per path with what the path's elements say (an article or main
-region), and the paths above a share of the page's mean are content. Whole paths are selected, so
-that short paragraphs stay with the long ones around them. Blocks inside menus, headers, footers,
+region), and the paths above a share of the page's mean are content, as is all of a region with
+enough text. Whole paths are selected, so that short paragraphs stay with the long ones around them. Blocks inside menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, as their elements, roles
 and classes name them, are never content.
 
@@ -200,7 +200,8 @@ def main_text(page: str | None) -> str:
         fused[b.path].append(x * (REGION if b.region and weight[b.region] >= 0.3 * largest else 1.0) * (1 - totals[b.path][3] / totals[b.path][1]))
     score = {p: sum(x) / len(x) for p, x in fused.items()}
     mean = sum(score[b.path] * len(t) for b, t in blocks) / sum(map(len, texts))
-    return "\n".join(t for b, t in blocks if score[b.path] >= THRESHOLD * mean)
+    chosen = {r for r, n in weight.items() if r and n >= 0.3 * largest}
+    return "\n".join(t for b, t in blocks if b.region in chosen or score[b.path] >= THRESHOLD * mean)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

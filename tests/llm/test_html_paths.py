@@ -62,6 +62,15 @@ def test_markup(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("n", [5, 20, 200])
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_long_lists_tables_and_code_in_regions(around, n):
+    items = [f"item {i} of a short list" for i in range(n)]
+    cells = [f"cell {i}" for i in range(n)]
+    made = body(PARAGRAPHS[:4]) + f"<ul>{body(items, 'li')}</ul><table><tr>{body(cells, 'td')}</table><pre>x = 1</pre>" + body(PARAGRAPHS[4:8])
+    assert main_text(f"<nav>{MENU}</nav><{around}>{made}</{around}><footer>{FOOT}</footer>") == "\n".join([*PARAGRAPHS[:4], *items, *cells, "x = 1", *PARAGRAPHS[4:8]])
+
+
 def test_very_long_and_very_deep_pages():
     many = [f"Paragraph {i} says little." for i in range(20_000)]
     assert main_text(f"<article>{body(many)}</article>") == "\n".join(many)
