@@ -7,7 +7,8 @@ the smoothed ratios are fused per path with what the path's elements say (an art
 region), and the paths above a share of the page's mean are content, as is all of a region with
 enough text. Whole paths are selected, so that short paragraphs stay with the long ones around them. Blocks inside menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, as their elements, roles
-and classes name them, are never content.
+and classes name them, are never content. A form around an article or most of the page's text is no
+such form, and a class that says what an element has (``has-sidebar``) is no such name.
 
 Character references are decoded, white space inside a block becomes one space (``br`` too), and
 blocks are joined by newlines in page order. Nothing is dropped for its length or place.
@@ -45,13 +46,15 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never content; those whose content is raw text come first.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-BOILERPLATE = RAW | frozenset("head nav header footer aside form noscript template button select datalist dialog svg canvas object audio video math menu label fieldset".split())
+BOILERPLATE = RAW | frozenset("head nav header footer aside form noscript template button select datalist dialog svg canvas object audio video menu label fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar tablist toolbar".split())
 #: Words of classes and ids that name boilerplate, and those that do so even on an article.
 NAMES = frozenset(
     "ad ads adsense adslot advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disclaimer disqus dropdown footer form gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promotion reply respond related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets".split()
 )
 ON_ARTICLES = frozenset("ad ads advert advertisement comment comments promo related reply sponsored teaser".split())
+#: Words that make a class or id say what an element has or may do, not what it is.
+STATES = frozenset("has with without no enabled disabled".split())
 REGIONS = frozenset(("article", "main"))
 #: Open elements that a start tag closes, up to the elements that bound them.
 _CLOSES = {
@@ -64,6 +67,9 @@ _CLOSES_P = BLOCKS - {"body", "head", "html", "title", "caption", "td", "th", "t
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_SCRIPTS = re.compile(r"<(script|style)\b.*?(?:</\1\b[^>]*>|\Z)", re.S | re.I)
+_FORM_END = re.compile(r"</form\b", re.I)
+_REGION = re.compile(r"<(?:article|main)\b", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、！？]")
 
 
@@ -90,7 +96,7 @@ def _named(tag: str, attrs: str) -> tuple[bool, str]:
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
-            words = {w.lower() for w in _WORD.findall(value)}
+            words = {w for token in value.split() if not STATES & (own := {w.lower() for w in _WORD.findall(token)}) for w in own}
             out |= bool(words & (ON_ARTICLES if tag in REGIONS else frozenset() if tag in ("html", "body") else NAMES))
             label = value if name == "class" else label
         elif name == "role":
@@ -100,6 +106,14 @@ def _named(tag: str, attrs: str) -> tuple[bool, str]:
     return out, label
 
 
+def _wraps(page: str, at: int) -> bool:
+    """Whether the form that opens before ``at`` holds an article or main, or most of the page's text."""
+    size = lambda part: len("".join(_TOKEN.sub(" ", _SCRIPTS.sub(" ", part)).split()))
+    end = _FORM_END.search(page, at)
+    inside = page[at : end.start() if end else len(page)]
+    return bool(_REGION.search(inside)) or 2 * size(inside) > size(page)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks that may be content, in page order."""
     paths: dict[tuple, int] = {}
@@ -161,7 +175,8 @@ def blocks_of(page: str) -> list[Block]:
         if tag in REGIONS and not named:
             regions += 1
             region = regions
-        element = Element(tag, path_of(top.path, (tag, label)) if tag in BLOCKS else top.path, region, top.out or tag in BOILERPLATE or named, top.link or tag == "a")
+        boilerplate = tag in BOILERPLATE and (tag != "form" or top.out or not _wraps(page, at))
+        element = Element(tag, path_of(top.path, (tag, label)) if tag in BLOCKS else top.path, region, top.out or boilerplate or named, top.link or tag == "a")
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             if not element.out:

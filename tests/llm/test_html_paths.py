@@ -71,6 +71,13 @@ def test_long_lists_tables_and_code_in_regions(around, n):
     assert main_text(f"<nav>{MENU}</nav><{around}>{made}</{around}><footer>{FOOT}</footer>") == "\n".join([*PARAGRAPHS[:4], *items, *cells, "x = 1", *PARAGRAPHS[4:8]])
 
 
+@pytest.mark.parametrize("tag", ["div class='layout has-sidebar'", "div class='content with-header'", "div id='page-with-nav'", "div class='post share-enabled'", "form action='/x'"])
+@pytest.mark.parametrize("inside", ["<article>{}</article>", "<div>{}</div>"])
+def test_wrappers_and_formulas_are_kept(tag, inside):
+    made = inside.format(body(PARAGRAPHS[:4]) + "<p>Let <math><mi>x</mi></math> be.</p>")
+    assert main_text(f"<{tag}>{made}<div class='sidebar'>{REMARKS}</div></{tag.split()[0]}>") == "\n".join([*PARAGRAPHS[:4], "Let x be."])
+
+
 def test_very_long_and_very_deep_pages():
     many = [f"Paragraph {i} says little." for i in range(20_000)]
     assert main_text(f"<article>{body(many)}</article>") == "\n".join(many)
