@@ -6,7 +6,8 @@ least one, is a window by itself. All distinct windows go into one automaton ove
 each document is scanned once. A word inside any occurrence of a window is hit.
 
 Results in special cases: null and empty texts have no words, no hits and no items; repeated rows
-are judged one by one; windows shared by several items count for each of them; an empty benchmark
+are judged one by one; windows shared by several items count for each of them; items without an id
+hit like any other, and are one null among a document's items; an empty benchmark
 hits nothing; further columns of the input are ignored, whatever their names.
 """
 
@@ -51,8 +52,8 @@ def window_table(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item
             rows = [(p, i) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for p in windows_of(t, window)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], ["pattern", "item"])
 
-    rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).filter(F.col(id_col).isNotNull())
-    return rows.mapInArrow(explode, "pattern string, item string").groupBy("pattern").agg(F.collect_set("item").alias("items"))
+    rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
+    return rows.mapInArrow(explode, "pattern string, item string").groupBy("pattern").agg(F.collect_set(F.struct("item")).alias("items")).select("pattern", F.col("items.item").alias("items"))
 
 
 def _automata(windows: DataFrame, limit: int) -> Iterator[ahocorasick.Automaton]:
@@ -61,12 +62,12 @@ def _automata(windows: DataFrame, limit: int) -> Iterator[ahocorasick.Automaton]
     Windows within the limit are collected at once, more of them part by part.
     """
     windows = materialize(windows, "windows")
-    item_bytes = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, x: n + F.length(x))
+    item_bytes = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(F.length(x), F.lit(0)))
     total = windows.agg(F.sum(F.length("pattern") + item_bytes)).first()[0] or 0
     found, size = ahocorasick.Automaton(), 0
     for row in windows.collect() if total <= limit else windows.toLocalIterator():
         found.add_word(row.pattern, (len(row.pattern), tuple(row["items"])))
-        size += len(row.pattern) + sum(map(len, row["items"]))
+        size += len(row.pattern) + sum(len(x or "") for x in row["items"])
         if size >= limit:
             found.make_automaton()
             yield found
@@ -125,7 +126,7 @@ def _pass(rows: DataFrame, automaton: ahocorasick.Automaton) -> DataFrame:
                 ranges, more = _scan(words, found) if words and len(found) else ([], set())
                 n_words.append(len(words))
                 spans.append(_offsets(text, _merge([(x["first"], x["last"]) for x in before] + ranges)) if ranges else before)
-                items.append(sorted({*owners, *more}))
+                items.append(sorted({*owners, *more}, key=lambda x: (x is None, x or "")))
             new = {"n_words": pa.array(n_words, pa.int64()), "spans": pa.array(spans, pa.list_(span)), "items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in batch.schema.names], batch.schema.names)
 

@@ -69,6 +69,12 @@ def test_filter_keeps_columns_and_clean_rows(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(clean, key=str)
 
 
+def test_items_without_an_id_hit(spark):
+    docs = spark.createDataFrame([(1, "x no id here short item"), (2, "clean")], "doc_id bigint, text string")
+    got = d.contamination(docs, spark.createDataFrame([*BENCH, (None, "Short item")], "item_id bigint, text string")).orderBy("doc_id").collect()
+    assert [(r.n_hit, r["items"]) for r in got] == [(5, ["2", None]), (0, [])]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id bigint, text string")
     none = spark.createDataFrame([], "item_id bigint, text string")
