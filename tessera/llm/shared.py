@@ -1,15 +1,23 @@
-"""What the operators share: the shared folder, and tables written to cut lineage."""
+"""What the operators share: the shared folder, tables written to cut lineage, joins that split hot keys."""
 
 from __future__ import annotations
 
 import pickle
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of input that a task turns into one batch of output.
+SLICE_BYTES = 8 << 20
+#: A key is hot if it holds more than one row in so many: there are at most as many hot keys, whatever the table.
+HOT_SHARE = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,11 +36,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Let Spark pass at most ``rows`` rows at a time to Python in this session, so that batches of whole texts stay small."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+def in_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``max_bytes``, so that what a task makes of one is bounded by bytes, not rows."""
+    for batch in batches:
+        rows = max(1, int(max_bytes * batch.num_rows / max(batch.nbytes, 1)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def text_of(documents: DataFrame, text_col: str) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
+    """The rows as ``doc`` (and their text beside it only where it is no string), and what reads the texts from a batch."""
+    if documents.schema[text_col].dataType.typeName() == "string":
+        at = documents.columns.index(text_col)
+        return documents.select(F.struct("*").alias("doc")), lambda batch: batch.column("doc").field(at)
+    return documents.select(F.struct("*").alias("doc"), F.col(text_col).cast("string").alias("text")), lambda batch: batch.column("text")
 
 
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
@@ -69,3 +86,21 @@ def discard(df: DataFrame) -> None:
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_hot(rows: DataFrame, unique: DataFrame, on: str, weight: Column, total: int, how: str = "inner") -> DataFrame:
+    """Join ``rows`` with a table that has each key ``on`` once, without a task for all rows of a hot key.
+
+    ``weight`` is how many rows meet a key, ``total`` all of them: at most ``HOT_SHARE`` keys can
+    hold more than one row in ``HOT_SHARE``, so these are broadcast; no other key is hot. ``unique``
+    is read three times, so it should be materialized. ``how`` is inner, left or left_semi.
+    """
+    hot = unique.filter(weight * HOT_SHARE > total)
+    marked = rows.join(F.broadcast(hot.select(on, F.lit(True).alias("_hot"))), on, "left")
+    spread = marked.filter("_hot IS NULL").drop("_hot").join(unique.filter(~(weight * HOT_SHARE > total)), on, how)
+    return spread.unionByName(marked.filter("_hot").drop("_hot").join(F.broadcast(hot), on, how))
+
+
+def runs(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start, in columns of one length."""
+    return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)]) if len(columns[0]) else np.zeros(0, int)
