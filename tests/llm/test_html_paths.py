@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -55,6 +56,7 @@ def test_pages_of_many_makes(page, paragraphs):
         ("<article><p>before<!-- never closed <p>after", "before"),
         ("<article><p>3 < 5 and 5 > 3 <i <p>x</i></p></article>", "3 < 5 and 5 > 3 x"),
         ('<article><p title="it\'s > that">q</p><p title="open>r</p></article>', "q\nr"),
+        ("<article><p>&#0000000065;&#99999999999;&#x110000;</p></article>", "A\ufffd\ufffd"),
         ("<article><SCRIPT>if (a</b) {}</SCRIPT ><P>Big</P></ARTICLE>", "Big"),
     ],
 )
@@ -78,6 +80,47 @@ def test_wrappers_and_formulas_are_kept(tag, inside):
     assert main_text(f"<{tag}>{made}<div class='sidebar'>{REMARKS}</div></{tag.split()[0]}>") == "\n".join([*PARAGRAPHS[:4], "Let x be."])
 
 
+@pytest.mark.parametrize(
+    "extra",
+    [
+        f"<p class='share price'>{PARAGRAPHS[5]}</p>", f"<section class='social history'><p>{PARAGRAPHS[6]}</p></section>", f"<p hidden>{PARAGRAPHS[7]}</p>",
+        "<ul>" + "".join(f"<li><a href='/{i}'>see also {i}</a></li>" for i in range(12)) + "</ul>",
+    ],
+)
+def test_article_text_stays_whatever_its_classes(extra):
+    made = body(PARAGRAPHS[:3]) + extra + body(PARAGRAPHS[3:5])
+    plain = [x for x in re.sub("<[^>]*>", "\n", extra).split("\n") if x]
+    small = "<div class='share'><a href='/x'>Share</a></div><div class='newsletter'>Get our mail.</div>"
+    for tag in ("article", "main"):
+        assert main_text(f"<nav>{MENU}</nav><{tag}>{made}{small}</{tag}><footer>{FOOT}</footer>") == "\n".join([*PARAGRAPHS[:3], *plain, *PARAGRAPHS[3:5]])
+
+
+def test_ratios_decide_where_nothing_is_named():
+    page = f"<div><div>{MENU}</div><div class='x1'>{body(PARAGRAPHS[:5])}</div>{body(['Home', 'Imprint', 'Help', 'Terms', 'Top', 'Map'], 'div')}</div>"
+    assert main_text(page) == "\n".join(PARAGRAPHS[:5])
+    assert main_text(page, threshold=0) != main_text(page)
+    named = f"<nav>{MENU}</nav><article>{body(PARAGRAPHS[:5])}</article><footer>{FOOT}</footer>"
+    assert main_text(named) == "\n".join(PARAGRAPHS[:5]) and "rights" in main_text(named, threshold=0)
+
+
+@pytest.mark.parametrize("tag", ["div class='sidebar'", "div id='footer'", "form", "div hidden", "header"])
+def test_a_page_that_is_all_in_one_named_element(tag):
+    assert main_text(f"<{tag}>{body(PARAGRAPHS[:4])}</{tag.split()[0]}>") == "\n".join(PARAGRAPHS[:4])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 60_000 + "</b>" * 60_000 + "</section>" * 60_000, '<a "' * 250_000, "<div>" * 200_000, '<a ">" ' * 150_000 + '"', "<!" * 500_000, "<!-- " * 200_000, "<p><button>" + "<b>" * 90_000 + "<div>" * 90_000,
+        "<script>" * 120_000, "<td>" * 200_000, "<p " + "x " * 500_000, "&#" + "9" * 1_000_000, "<b><div>" + "</b><i>" * 140_000, "<a =" * 250_000 + ">", "<title" * 170_000 + ">",
+    ],
+)
+def test_time_is_linear(page):
+    began = time.perf_counter()
+    main_text(page + "<p>End.")
+    assert time.perf_counter() - began < 15
+
+
 def test_very_long_and_very_deep_pages():
     many = [f"Paragraph {i} says little." for i in range(20_000)]
     assert main_text(f"<article>{body(many)}</article>") == "\n".join(many)
