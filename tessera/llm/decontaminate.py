@@ -7,14 +7,17 @@ each document is scanned once. A word inside any occurrence of a window is hit.
 
 Results in special cases: null and empty texts have no words, no hits and no items; repeated rows
 are judged one by one; windows shared by several items count for each of them; items without an id
-hit like any other, and are one null among a document's items; an empty benchmark
-hits nothing; further columns of the input are ignored, whatever their names.
+hit like any other, and are one null among a document's items, counted in ``n_items`` but with no id
+to join; null document ids are allowed; very long texts are scanned whole; an empty benchmark
+hits nothing, and an empty table gives no rows; further columns of the input are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -22,15 +25,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize, share
+from tessera.llm.shared import in_slices, join_hot, materialize, share
 
 WINDOW = 13
-#: Bytes of window text in one automaton. A benchmark beyond that is matched in several passes.
+#: Bytes of window text in one automaton, which takes some sixty times as much memory in a worker. A benchmark beyond
+#: that is matched in several passes over the texts.
 MAX_PATTERN_BYTES = 4 << 20
 
 _WORD_BYTES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_IN_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_WORD = re.compile(_IN_WORD)
 _SPANS = "array<struct<first:int,last:int,start:int,end:int>>"
+_SPAN = pa.struct([(n, pa.int32()) for n in ("first", "last", "start", "end")])
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -112,46 +118,74 @@ def _offsets(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
     return [{"first": a, "last": b, "start": at[a][0], "end": at[b][1]} for a, b in ranges]
 
 
-def _pass(rows: DataFrame, automaton: ahocorasick.Automaton) -> DataFrame:
-    """Scan every row's text with one automaton and add what it finds to the row's spans and items."""
+def _in_order(items: Iterable[str | None]) -> list[str | None]:
+    return sorted({*items}, key=lambda x: (x is None, x or ""))
+
+
+def _scanned(rows: DataFrame, automaton: ahocorasick.Automaton) -> DataFrame:
+    """The rows, their text replaced by n_words, spans and items."""
     shared = share(rows.sparkSession, automaton)
-    span = pa.struct([(n, pa.int32()) for n in ("first", "last", "start", "end")])
+    kept = [f for f in rows.schema.fields if f.name != "text"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared()
-        for batch in batches:
+        for batch in in_slices(batches):
             n_words, spans, items = [], [], []
-            for text, before, owners in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "items"))):
+            for text in batch.column("text").to_pylist():
                 words = words_of(text)
-                ranges, more = _scan(words, found) if words and len(found) else ([], set())
+                ranges, owners = _scan(words, found) if words and len(found) else ([], set())
                 n_words.append(len(words))
-                spans.append(_offsets(text, _merge([(x["first"], x["last"]) for x in before] + ranges)) if ranges else before)
-                items.append(sorted({*owners, *more}, key=lambda x: (x is None, x or "")))
-            new = {"n_words": pa.array(n_words, pa.int64()), "spans": pa.array(spans, pa.list_(span)), "items": pa.array(items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in batch.schema.names], batch.schema.names)
+                spans.append(_offsets(text, ranges))
+                items.append(_in_order(owners))
+            new = [pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *new], [*(f.name for f in kept), "n_words", "spans", "items"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return rows.mapInArrow(scan, f"{schema}, n_words bigint, spans {_SPANS}, items array<string>")
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """(key, n, spans, items) of texts that several automata hit, from the spans and items of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            spans, items = [], []
+            for parts, owners in zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
+                every = [x for part in parts for x in part]
+                start, end = {x["first"]: x["start"] for x in every}, {x["last"]: x["end"] for x in every}
+                spans.append([{"first": a, "last": b, "start": start[a], "end": end[b]} for a, b in _merge([(x["first"], x["last"]) for x in every])])
+                items.append(_in_order(i for part in owners for i in part))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), pa.array(spans, pa.list_(_SPAN)), pa.array(items, pa.list_(pa.string()))], ["key", "n", "spans", "items"])
 
-    return rows.mapInArrow(scan, rows.schema)
+    grouped = found.groupBy("key").agg(F.max("n").alias("n"), F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
+    return grouped.mapInArrow(run, f"key string, n bigint, spans {_SPANS}, items array<string>")
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", max_pattern_bytes: int = MAX_PATTERN_BYTES, keep_rows: bool = False) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, ``spans`` (hit word ranges and their code points in the original) and ``items``.
 
     The benchmark's windows are broadcast as one automaton of at most ``max_pattern_bytes``. A
-    larger benchmark makes several, each of which scans the texts in a pass of its own; the rows
-    are written to the shared folder between passes. ``keep_rows`` adds the input row as ``doc``.
+    larger benchmark makes several, each of which scans the texts in a pass of its own; what a pass
+    writes to the shared folder is the spans and items of texts that are hit, by the digest of the
+    text, and no texts. ``keep_rows`` adds the input row as ``doc``.
     """
-    rows = documents.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"),
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast(_SPANS).alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-        *([F.struct("*").alias("doc")] if keep_rows else []),
-    )
+    text = F.col(text_col).cast("string")
+    kept = [F.col(doc_id).alias("doc_id"), *([F.struct("*").alias("doc")] if keep_rows else [])]
     automata = _automata(window_table(benchmark, window, item_id, item_text), max_pattern_bytes)
-    rows = _pass(rows, next(automata, None) or ahocorasick.Automaton())
-    for automaton in automata:
-        rows = _pass(materialize(rows, "decontaminate"), automaton)
+    first, second = next(automata, None), next(automata, None)
+    if second is None:
+        rows = _scanned(documents.select(*kept, text.alias("text")), first or ahocorasick.Automaton())
+    else:
+        key = F.sha1(F.coalesce(text, F.lit("")))
+        found = None
+        for automaton in itertools.chain([first, second], automata):
+            hits = _scanned(documents.select(key.alias("key"), text.alias("text")), automaton).filter("size(spans) > 0")
+            once = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("spans").alias("spans"), F.first("items").alias("items"))
+            part = materialize(once, "hits")
+            found = part if found is None else found.unionByName(part)
+        rows = documents.select(*kept, key.alias("key"), F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_IN_WORD)).cast("bigint").alias("n_words"))
+        rows = join_hot(rows, materialize(_merged(found), "hits"), "key", F.col("n"), documents.count(), "left")
+        rows = rows.withColumns({"spans": F.coalesce("spans", F.array().cast(_SPANS)), "items": F.coalesce("items", F.array().cast("array<string>"))})
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["last"] - x["first"] + 1)
     return rows.withColumn("n_hit", n_hit).select("doc_id", "n_words", "n_hit", "spans", "items", *(["doc"] if keep_rows else []))
 
