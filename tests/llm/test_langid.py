@@ -1,11 +1,15 @@
 """Language identification: held-out accuracy, special cases, and the sizes themselves."""
 
 import random
+import re
 import zlib
 
+import pytest
+import xxhash
 import zstandard
 
 from tessera.llm import langid
+from tessera.llm.queries import QUERIES
 
 STEMS = {"aa": "ka to mi ren sol va dit".split(), "bb": "schu brö ter gen lich ün ost".split(), "cc": "éau xion que leur ment oi rai".split()}
 
@@ -63,6 +67,59 @@ def test_narrow_margins_are_rejected(spark):
     assert got[1].accepted and not got[2].accepted and got[3].accepted
 
 
+def signed(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def plain_fit(rows):
+    """The dictionaries by plain Python over all rows (doc_id, text, lang)."""
+    texts = {}
+    for i, text, lang in rows:
+        if zlib.crc32(b"" if i is None else str(i).encode()) % 5 and lang is not None and text and any(c.isalpha() for c in text):
+            texts.setdefault(lang, {})[signed(text)] = text
+    out = {}
+    for lang in sorted(texts, key=lambda x: (-len(texts[x]), x)):
+        parts = []
+        for h in sorted(texts[lang])[: langid.SAMPLE]:
+            start = h % max(len(texts[lang][h]) - langid.FRAGMENT, 1)
+            letters = "".join(c if c.isalpha() else " " for c in texts[lang][h][start : start + langid.FRAGMENT].lower())
+            parts.append(re.sub(" +", " ", letters).encode() if letters.strip() else b"")
+        out[lang] = b" ".join(parts)
+    return out
+
+
+def plain_row(text, dictionaries):
+    letters = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in (text or "").lower()))
+    if not letters.strip():
+        return "und", 0.0, 0.0, False
+    raw = letters.encode()
+    blocks = [raw[i : i + 1024] for i in range(0, len(raw), 1024)]
+    size = {}
+    for lang, content in dictionaries.items():
+        c = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False)
+        size[lang] = sum(len(c.compress(b)) for b in blocks)
+    best = min(size, key=lambda x: size[x])
+    second = min(n for x, n in size.items() if x != best)
+    share = 1 / sum(2.0 ** (size[best] - n) for n in size.values())
+    return best, share, 1 - size[best] / second, second - size[best] + len(blocks) >= langid.MIN_MARGIN * second
+
+
+@pytest.mark.parametrize("group", [langid.GROUP, 2])
+def test_query_equals_plain_python(spark, monkeypatch, group):
+    monkeypatch.setattr(langid, "GROUP", group)
+    monkeypatch.setattr(langid, "SAMPLE", 20)
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op4_language_id"](spark, sf).collect()}
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    dictionaries = plain_fit(rows)
+    assert len(got) == len(rows) and len(dictionaries) > 3
+    for i, text, _ in rows:
+        name, share, margin, accepted = plain_row(text, dictionaries)
+        assert (got[i].lang_pred, got[i].accepted, got[i].held_out) == (name, accepted, zlib.crc32(str(i).encode()) % 5 == 0)
+        assert abs(got[i].score - share) < 1e-9 and abs(got[i].margin - margin) < 1e-9
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert langid.identify(docs).count() == 0
