@@ -1,11 +1,15 @@
 """Multiple-instance quality classifier: gradients, held-out accuracy, special cases."""
 
+import math
 import random
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from tessera.llm import langid, quality
+from tessera.llm.queries import QUERIES
 
 
 def test_passages_hold_the_whole_text():
@@ -75,6 +79,66 @@ def test_held_out_labels_teach_nothing(spark):
     assert all(np.array_equal(a.p[k], b.p[k]) for k in a.p)
 
 
+def plain_score(text, net):
+    """The score of a text by loops over its passages."""
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    hidden, weights = [], []
+    for part in quality.passages(text):
+        x = np.clip((quality.encode([part])[0] - net.mean) / net.scale, -8, 8).astype(float)
+        x[quality._COUNTED :] *= len(part) / (len(part) + quality.EVIDENCE)
+        h = [math.tanh(sum(x[i] * p["We"][i, j] for i in range(len(x))) + p["be"][j]) for j in range(quality.HIDDEN)]
+        gate = [math.tanh(sum(h[i] * p["V"][i, j] for i in range(len(h)))) * sigmoid(sum(h[i] * p["U"][i, j] for i in range(len(h)))) for j in range(quality.ATTENTION)]
+        hidden.append(h)
+        weights.append(math.exp(sum(g * w for g, w in zip(gate, p["w"]))))
+    z = [sum(w * h[j] for w, h in zip(weights, hidden)) / sum(weights) for j in range(quality.HIDDEN)]
+    return sigmoid(sum(a * b for a, b in zip(z, p["c"])) + p["b"][0])
+
+
+def signed(raw):
+    h = xxhash.xxh64_intdigest(raw, 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def test_query_equals_plain_python(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op10_quality"](spark, sf).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    marks = {}
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        if r.doc_id in texts and r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            marks.setdefault(r.doc_id, []).append(r.quality)
+    bags = {(signed(texts[i].encode()), float(np.mean(v) >= 0.5)): texts[i] for i, v in marks.items() if texts[i] is not None}
+    order = sorted(bags)
+    net = quality.train([quality.encode(quality.passages(bags[k])) for k in order], np.array([k[1] for k in order]))
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        assert abs(got[i].score - plain_score(text, net)) < 1e-4
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and got[i].predicted == int(got[i].score >= 0.7)
+
+
+def test_labels_of_absent_documents_take_no_place(spark):
+    rows, labels = corpus(40)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, x string, y double")
+    absent = spark.range(1000, 101_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    marks = spark.createDataFrame([(i, q) for i, q, _ in labels], "doc_id bigint, quality int")
+    model, same = (quality.fit(docs, x, langid.in_part("doc_id", 1, 0)) for x in (marks.unionByName(absent), marks))
+    assert isinstance(model, quality.Network) and all(np.array_equal(model.p[k], same.p[k]) for k in model.p)
+
+
+def test_training_takes_every_passage_and_settles():
+    rng = np.random.default_rng(5)
+    bags, labels = [], []
+    for k in range(60):  # one telling passage among many
+        bag = rng.normal(size=(300, 6)).astype(np.float32)
+        bag[rng.integers(300), 0] += 40 * (k % 2)
+        bags.append(bag)
+        labels.append(float(k % 2))
+    net = quality.train(bags, np.array(labels))
+    starts = np.cumsum([0, *map(len, bags[:-1])])
+    assert ((net.forward(np.concatenate(bags), starts)[0] >= 0.5) == np.array(labels)).mean() > 0.95
+
+
 @pytest.mark.parametrize(("labels", "share"), [([], 0.5), ([(1, 1), (2, 1)], 1.0), ([(1, 0)], 0.0)])
 def test_labels_of_one_kind(spark, labels, share):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
