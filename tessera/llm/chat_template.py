@@ -1,12 +1,16 @@
 """Chat formatting with compiled templates.
 
 A small, sandboxed template language: text, ``{{ expression }}``, ``{% if %} / {% elif %} /
-{% else %} / {% endif %}``, ``{% for x in expression %} / {% endfor %}``, ``{% set x = expression %}``
-and ``{% generation %} / {% endgeneration %}``, which marks what the model is to generate.
-Expressions have strings, integers, ``true``, ``false``, ``none``, names, ``a.b`` and ``a['b']`` on
-mappings, ``loop.first``, ``loop.last`` and ``loop.index0``, ``not``, ``and``, ``or``, ``==``, ``!=``, ``in``, ``+``,
-parentheses and filters (``x | trim``). Nothing else can be reached: no calls, no attributes of
-Python objects, no assignment outside the template's own names.
+{% else %} / {% endif %}``, ``{% for x in expression %} / {% endfor %}``, ``{% set x = expression %}``,
+``{# comments #}`` and ``{% generation %} / {% endgeneration %}``, which marks what the model is to
+generate. A ``-`` inside a tag's braces takes away the white space on its side. Expressions have
+strings, integers, ``true``, ``false``, ``none``, names, ``a.b`` and ``a['b']`` on mappings, ``a[0]``,
+``a[1:]`` on lists and strings, ``loop.first``, ``loop.last``, ``loop.index``, ``loop.index0`` and
+``loop.length``, ``not``, ``and``, ``or``, ``== != < <= > >=``, ``in``, ``not in``, ``is [not] defined`` (or none,
+string, number, mapping, true, false), ``x if y else z``, ``+ - * ~ %``, parentheses and filters
+(``x | trim``). Nothing else can be reached: no calls, no attributes of Python objects, no
+assignment outside the template's own names; whatever else a template holds is an error when it is
+compiled.
 
 A template is parsed into a syntax tree of tuples, constants are folded (expressions, filters and
 branches of constants, and runs of text), and the tree becomes nested Python closures that append
@@ -17,21 +21,24 @@ nothing) and a ``|`` follow gets one more backslash, so an escaped text never ho
 
 Results in special cases: null texts and null roles are empty; turns sort by turn (null first),
 role and text, so ties and repeated rows have an order; rows with a null conversation id are one
-conversation; a template error raises at compile time; further columns are ignored.
+conversation; an empty table gives no conversations; a template error raises at compile time;
+further columns are ignored. Texts may be of any length, but a conversation becomes one text and so one
+row: all its turns must fit a task, and 2 GB.
 """
 
 from __future__ import annotations
 
 import hashlib
+import operator
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import small_batches
+from tessera.llm.shared import in_slices
 
 #: Turns between control strings; role and text escaped; the text of assistant turns is generated.
 CHATML = (
@@ -59,9 +66,28 @@ def any_lines(text: str) -> str:
 
 FILTERS: dict[str, Callable[[Any], Any]] = {"trim": str.strip, "upper": str.upper, "lower": str.lower, "length": len, "escape": escape, "one_line": one_line}
 
-_TAG = re.compile(r"\{\{(?P<expr>.*?)\}\}|\{%-?(?P<stmt>.*?)-?%\}", re.S)
-_TOKEN = re.compile(r"\s*(?:(?P<str>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<int>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|[().\[\]+|]))", re.S)
-_WORDS = {"true": True, "false": False, "none": None}
+
+class _Undefined:
+    """What a name that the template never set is."""
+
+    def __bool__(self) -> bool:
+        return False
+
+
+UNDEFINED = _Undefined()
+TESTS: dict[str, Callable[[Any], bool]] = {
+    "defined": lambda x: x is not UNDEFINED, "undefined": lambda x: x is UNDEFINED, "none": lambda x: x is None, "true": lambda x: x is True, "false": lambda x: x is False,
+    "string": lambda x: isinstance(x, str), "number": lambda x: isinstance(x, int) and not isinstance(x, bool), "mapping": lambda x: isinstance(x, dict),
+}
+LOOP = ("first", "last", "index", "index0", "length")
+
+_STRING = r"'(?:[^'\\]|\\.)*+'|\"(?:[^\"\\]|\\.)*+\""
+_OPEN = re.compile(r"\{(?P<kind>[{%#])(?P<left>-?)")
+_INSIDE = {k: re.compile(rf"(?P<body>(?:{_STRING}|(?!-?{end})[^'\"])*+)(?P<right>-?){end}", re.S) for k, end in (("{", r"\}\}"), ("%", r"%\}"))} | {"#": re.compile(r"(?P<body>.*?)(?P<right>-?)#\}", re.S)}
+_TOKEN = re.compile(rf"\s*(?:(?P<str>{_STRING})|(?P<int>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|<=|>=|[().\[\]+|<>:~*%-]))", re.S)
+_WORDS = {"true": True, "false": False, "none": None, "True": True, "False": False, "None": None}
+_KEYWORDS = ("and", "or", "not", "in", "is", "if", "else")
+_COMPARE: dict[str, Callable[[Any, Any], bool]] = {"==": operator.eq, "!=": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
 _ESCAPES = {"n": "\n", "t": "\t", "\\": "\\", "'": "'", '"': '"'}
 
 
@@ -97,11 +123,19 @@ class _Expression:
             raise TemplateError(f"{value!r} expected")
 
     def whole(self) -> tuple:
-        node = self.either()
+        node = self.chosen()
         if self.at < len(self.tokens):
             raise TemplateError(f"unexpected {self.tokens[self.at][1]!r}")
         return node
 
+    def chosen(self) -> tuple:
+        node = self.either()
+        if self.take("if"):
+            test = self.either()
+            other = self.chosen() if self.take("else") else ("const", "")
+            return ("choose", test, node, other)
+        return node
+
     def either(self) -> tuple:
         node = self.both()
         while self.take("or"):
@@ -117,27 +151,46 @@ class _Expression:
     def negated(self) -> tuple:
         return ("not", self.negated()) if self.take("not") else self.compared()
 
+    def name(self, known: Iterable[str], what: str) -> str:
+        """The next token, which must be one of these names."""
+        kind, value = self.tokens[self.at] if self.at < len(self.tokens) else ("", "")
+        if kind != "name" or value not in known:
+            raise TemplateError(f"unknown {what} {value!r}")
+        self.at += 1
+        return value
+
     def compared(self) -> tuple:
         node = self.summed()
-        for op in ("==", "!=", "in"):
+        if self.take("is"):
+            negated = self.take("not")
+            node = ("test", self.name(TESTS, "test"), node)
+            return ("not", node) if negated else node
+        if self.take("not"):
+            self.need("in")
+            return ("not", ("in", node, self.summed()))
+        for op in (*_COMPARE, "in"):
             if self.take(op):
                 return (op, node, self.summed())
         return node
 
     def summed(self) -> tuple:
+        node = self.multiplied()
+        while (op := self.peek()) in ("+", "-", "~"):
+            self.at += 1
+            node = (op, node, self.multiplied())
+        return node
+
+    def multiplied(self) -> tuple:
         node = self.filtered()
-        while self.take("+"):
-            node = ("+", node, self.filtered())
+        while (op := self.peek()) in ("*", "%"):
+            self.at += 1
+            node = (op, node, self.filtered())
         return node
 
     def filtered(self) -> tuple:
         node = self.reached()
         while self.take("|"):
-            kind, name = self.tokens[self.at] if self.at < len(self.tokens) else ("", "")
-            if kind != "name" or name not in FILTERS:
-                raise TemplateError(f"unknown filter {name!r}")
-            self.at += 1
-            node = ("filter", name, node)
+            node = ("filter", self.name(FILTERS, "filter"), node)
         return node
 
     def reached(self) -> tuple:
@@ -147,19 +200,32 @@ class _Expression:
                 kind, name = self.tokens[self.at] if self.at < len(self.tokens) else ("", "")
                 if kind != "name":
                     raise TemplateError("a name expected after '.'")
-                self.at += 1
+                if node == ("name", "loop"):
+                    self.name(LOOP, "part of loop")
+                else:
+                    self.at += 1
                 node = ("get", node, ("const", name))
             elif self.take("["):
-                node = ("get", node, self.either())
+                bounds = [None if self.peek() in (":", "]") else self.chosen()]
+                while self.take(":"):
+                    bounds.append(None if self.peek() in (":", "]") else self.chosen())
                 self.need("]")
+                if len(bounds) > 3 or bounds == [None]:
+                    raise TemplateError("an index or a slice expected")
+                none = ("const", None)
+                node = ("get", node, bounds[0]) if len(bounds) == 1 else ("slice", node, *(x or none for x in [*bounds, None][:3]))
+            elif self.peek() == "(":
+                raise TemplateError("calls are not part of the language")
             else:
                 return node
 
     def single(self) -> tuple:
         if self.take("("):
-            node = self.either()
+            node = self.chosen()
             self.need(")")
             return node
+        if self.take("-"):
+            return ("-", ("const", 0), self.reached())
         if self.at >= len(self.tokens):
             raise TemplateError("an expression expected")
         kind, value = self.tokens[self.at]
@@ -168,21 +234,31 @@ class _Expression:
             return ("const", re.sub(r"\\(.)", lambda m: _ESCAPES.get(m[1], m[0]), value[1:-1], flags=re.S))
         if kind == "int":
             return ("const", int(value))
-        if kind == "name" and value not in ("and", "or", "not", "in"):
+        if kind == "name" and value not in _KEYWORDS:
             return ("const", _WORDS[value]) if value in _WORDS else ("name", value)
         raise TemplateError(f"unexpected {value!r}")
 
 
+def _events(source: str) -> list[tuple[str, str]]:
+    """Text, expressions and statements in their order; comments are gone, white space is taken away where a tag says so."""
+    events, at, strip = [], 0, False
+    while m := _OPEN.search(source, at):
+        inside = _INSIDE[m["kind"]].match(source, m.end())
+        if not inside:
+            raise TemplateError(f"the tag at character {m.start()} does not end")
+        text = source[at : m.start()]
+        text = text.lstrip() if strip else text
+        events.append(("text", text.rstrip() if m["left"] else text))
+        if m["kind"] != "#":
+            events.append(("expr" if m["kind"] == "{" else "stmt", inside["body"].strip()))
+        at, strip = inside.end(), bool(inside["right"])
+    events.append(("text", source[at:].lstrip() if strip else source[at:]))
+    return [e for e in events if e[0] != "text" or e[1]]
+
+
 def parse(source: str) -> tuple:
     """The syntax tree of a template."""
-    events, at = [], 0
-    for m in _TAG.finditer(source):
-        if m.start() > at:
-            events.append(("text", source[at : m.start()]))
-        events.append(("expr", m["expr"]) if m["expr"] is not None else ("stmt", m["stmt"].strip()))
-        at = m.end()
-    if at < len(source):
-        events.append(("text", source[at:]))
+    events = _events(source)
     events.reverse()
 
     def block(*ends: str) -> tuple[tuple, str]:
@@ -194,10 +270,13 @@ def parse(source: str) -> tuple:
             elif kind == "expr":
                 nodes.append(("out", _Expression(value).whole()))
             else:
-                word, _, rest = value.partition(" ")
+                word = re.match(r"\w*", value)[0]
+                rest = value[len(word) :].strip()
                 if word in ends:
+                    if rest and word != "elif":
+                        raise TemplateError(f"unexpected {rest!r}")
                     return ("block", *nodes), value
-                nodes.append(statement(word, rest.strip()))
+                nodes.append(statement(word, rest))
         if ends:
             raise TemplateError(f"{ends[-1]!r} is missing")
         return ("block", *nodes), ""
@@ -220,7 +299,7 @@ def parse(source: str) -> tuple:
             if not m or m[1] == "loop":
                 raise TemplateError(f"cannot read 'set {rest}'")
             return ("set", m[1], _Expression(m[2]).whole())
-        if word == "generation":
+        if word == "generation" and not rest:
             return ("generation", block("endgeneration")[0])
         raise TemplateError(f"unknown statement {word!r}")
 
@@ -247,22 +326,50 @@ def fold(node: tuple) -> tuple:
         return node if node[1][0] != "const" else node[2] if node[1][1] else node[3]
     if kind in ("and", "or") and node[1][0] == "const":
         return node[2] if bool(node[1][1]) == (kind == "and") else node[1]
-    if kind in ("not", "==", "!=", "in", "+", "filter") and all(x[0] == "const" for x in node[1:] if isinstance(x, tuple)):
+    if kind == "choose" and node[1][0] == "const":
+        return node[2] if node[1][1] else node[3]
+    if kind in ("not", "in", "+", "-", "*", "%", "~", "filter", "test", "slice", *_COMPARE) and all(x[0] == "const" for x in node[1:] if isinstance(x, tuple)):
         return ("const", _value(node)({}))
     return node
 
 
 def _text(value: Any) -> str:
-    return "" if value is None else value if isinstance(value, str) else str(value)
+    return "" if value is None or value is UNDEFINED else value if isinstance(value, str) else str(value)
 
 
 def _get(of: Any, key: Any) -> Any:
-    """An entry of a mapping, or of a list by number; nothing else has any."""
+    """An entry of a mapping, or of a list or string by number; nothing else has any."""
     if isinstance(of, dict):
-        return of.get(key)
-    if isinstance(of, list) and isinstance(key, int) and not isinstance(key, bool):
-        return of[key] if -len(of) <= key < len(of) else None
-    return None
+        return of.get(key, UNDEFINED)
+    if isinstance(of, (list, str)) and isinstance(key, int) and not isinstance(key, bool):
+        return of[key] if -len(of) <= key < len(of) else UNDEFINED
+    return UNDEFINED
+
+
+def _number(x: Any) -> bool:
+    return isinstance(x, int) and not isinstance(x, bool)
+
+
+def _compare(op: str, x: Any, y: Any) -> bool:
+    """Numbers and texts are in order among themselves; nothing else is before or after anything."""
+    if op in ("==", "!=") or (_number(x) and _number(y)) or (isinstance(x, str) and isinstance(y, str)):
+        return _COMPARE[op](x, y)
+    return False
+
+
+def _calculate(op: str, x: Any, y: Any) -> Any:
+    """Of numbers; ``+`` and ``~`` join what else there is as text, and other signs give nothing."""
+    if op == "~" or not (_number(x) and _number(y)):
+        return _text(x) + _text(y) if op in "+~" else UNDEFINED
+    if op == "%":
+        return x % y if y else UNDEFINED
+    return x + y if op == "+" else x - y if op == "-" else x * y
+
+
+def _slice(of: Any, bounds: list[Any]) -> Any:
+    if not isinstance(of, (list, str)) or bounds[2] == 0 or not all(x is None or _number(x) for x in bounds):
+        return UNDEFINED
+    return of[slice(*bounds)]
 
 
 def _value(node: tuple) -> Callable[[dict], Any]:
@@ -273,10 +380,21 @@ def _value(node: tuple) -> Callable[[dict], Any]:
         return lambda names: value
     if kind == "name":
         name = node[1]
-        return lambda names: names.get(name)
+        return lambda names: names.get(name, UNDEFINED)
     if kind == "filter":
         f, of = FILTERS[node[1]], _value(node[2])
-        return (lambda names: f(of(names))) if node[1] == "length" else (lambda names: f(_text(of(names))))
+        if node[1] == "length":
+            return lambda names: len(x) if isinstance(x := of(names), (list, dict)) else len(_text(x))
+        return lambda names: f(_text(of(names)))
+    if kind == "test":
+        f, of = TESTS[node[1]], _value(node[2])
+        return lambda names: f(of(names))
+    if kind in ("slice", "choose"):
+        of, *parts = map(_value, node[1:])
+        if kind == "slice":
+            return lambda names: _slice(of(names), [x(names) for x in parts])
+        yes, no = parts
+        return lambda names: yes(names) if of(names) else no(names)
     a = _value(node[1])
     if kind == "not":
         return lambda names: not a(names)
@@ -287,19 +405,17 @@ def _value(node: tuple) -> Callable[[dict], Any]:
         return lambda names: a(names) and b(names)
     if kind == "or":
         return lambda names: a(names) or b(names)
-    if kind == "==":
-        return lambda names: a(names) == b(names)
-    if kind == "!=":
-        return lambda names: a(names) != b(names)
+    if kind in _COMPARE:
+        return lambda names: _compare(kind, a(names), b(names))
     if kind == "in":
-        return lambda names: a(names) in (b(names) or ())
-    if kind == "+":
 
-        def add(names: dict) -> Any:
+        def within(names: dict) -> bool:
             x, y = a(names), b(names)
-            return x + y if isinstance(x, int) and isinstance(y, int) else _text(x) + _text(y)
+            return x in y if isinstance(y, (list, dict)) or (isinstance(x, str) and isinstance(y, str)) else False
 
-        return add
+        return within
+    if kind in ("+", "-", "*", "%", "~"):
+        return lambda names: _calculate(kind, a(names), b(names))
     raise TemplateError(f"no expression: {kind}")
 
 
@@ -349,11 +465,11 @@ def _run(node: tuple) -> Callable[[dict, _Out], None]:
         name, value, body = node[1], _value(node[2]), _run(node[3])
 
         def loop(names: dict, out: _Out) -> None:
-            items = list(value(names) or ())
+            items = list(x) if isinstance(x := value(names), (list, dict, str)) else []
             inner = dict(names)
             for k, item in enumerate(items):
                 inner[name] = item
-                inner["loop"] = {"first": k == 0, "last": k == len(items) - 1, "index0": k}
+                inner["loop"] = {"first": k == 0, "last": k == len(items) - 1, "index": k + 1, "index0": k, "length": len(items)}
                 body(inner, out)
 
         return loop
@@ -384,7 +500,6 @@ def compile_template(source: str) -> Callable[[list[dict]], tuple[str, list[tupl
 def format_conversations(rows: DataFrame, template: str = CHATML, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, formatted, spans): each conversation as one text, and the ranges [start, end) under the loss mask."""
     compile_template(template)  # raises here, not in tasks
-    small_batches(rows.sparkSession)
     said = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((role, "role"), (text, "text"))]
     turns = F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), *said))).alias("turns")
     whole = rows.groupBy(F.col(conv_id).alias("conv_id")).agg(turns)
@@ -392,7 +507,7 @@ def format_conversations(rows: DataFrame, template: str = CHATML, conv_id: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         render = compile_template(template)
-        for batch in batches:
+        for batch in in_slices(batches):
             out = [render(turns) for turns in batch.column("turns").to_pylist()]
             spans = [[{"start": a, "end": b} for a, b in s] for _, s in out]
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), pa.array([t for t, _ in out], pa.string()), pa.array(spans, pa.list_(span))], ["conv_id", "formatted", "spans"])
@@ -421,7 +536,7 @@ def digests(formatted: DataFrame) -> DataFrame:
     """What CHATML texts hold, read back: turns, their digest, and the text under the loss mask."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             out = []
             for text, spans in zip(batch.column("formatted").to_pylist(), batch.column("spans").to_pylist()):
                 turns = read_back(text)

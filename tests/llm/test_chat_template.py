@@ -22,6 +22,14 @@ MESSAGES = [{"role": "system", "text": "be <|brief|>"}, {"role": "user", "text":
         ("a{% generation %}bc{% endgeneration %}d{% generation %}{{ messages[2].text | trim }}{% endgeneration %}", "abcdyes", [(1, 3), (4, 7)]),
         ("{% if 1 == 1 or missing %}x{% endif %}{% if not (1 != 1) %}y{% endif %}{% if missing.a.b %}z{% endif %}", "xy", []),
         (r"{{ 'it\'s\n' }}", "it's\n", []),
+        ("\n {%- if true -%} \n a \n {%- endif -%}\n\n b {{- ' c' -}} \n", "ab c", []),
+        ("x {#- {{ not read }} '-#} y{# z #}", "xy", []),
+        ("{{ '}}' + '%}' }}{% if '%}' == \"%}\" %}!{% endif %}", "}}%}!", []),
+        ("{% for m in messages[1:] %}{{ loop.index }}/{{ loop.length }}{{ m.role[0] }} {% endfor %}{{ 'abcd'[-2:] }}{{ 'abcd'[::2] }}", "1/2u 2/2a cdac", []),
+        ("{% if missing is defined %}a{% endif %}{% if messages is not defined %}b{% endif %}{% if none is none and 'x' is string and 1 is number and messages[0] is mapping %}c{% endif %}", "c", []),
+        ("{{ 1 < 2 }}{{ 2 <= 1 }}{{ 'b' > 'a' }}{{ 'a' >= 1 }}{{ 3 not in messages }}{{ 'us' in messages[1].role }}", "TrueFalseTrueFalseTrueTrue", []),
+        ("{{ 2 * 3 - 1 }}{{ -1 + 7 % 4 }}{{ 1 ~ 2 }}{{ 'y' if messages else 'n' }}{{ 'y' if missing }}{{ 'a' * 'b' }}", "5212y", []),
+        ("{%- for m in messages -%}\n  {%- if m.role != 'system' -%}\n    {{- m.role | upper ~ ':' -}}\n  {%- endif -%}\n{%- endfor -%}", "USER:ASSISTANT:", []),
     ],
 )
 def test_language(source, text, spans):
@@ -31,7 +39,7 @@ def test_language(source, text, spans):
     assert ("".join(out.pieces), out.spans) == (text, spans)
 
 
-@pytest.mark.parametrize("source", ["{{ }}", "{{ a b }}", "{% if x %}", "{{ f() }}", "{{ x | nothing }}", "{% include 'x' %}", "{{ 'a }}", "{% for loop in x %}{% endfor %}", "{{ (1 }}", "{{ x. }}"])
+@pytest.mark.parametrize("source", ["{{ }}", "{{ a b }}", "{% if x %}", "{{ f() }}", "{{ x | nothing }}", "{% include 'x' %}", "{{ 'a }}", "{% for loop in x %}{% endfor %}", "{{ (1 }}", "{{ x. }}", "{{ loop.nothing }}", "{{ x.strip() }}", "{{ x is odd }}", "{{ x[] }}", "{{ x[1:2:3:4] }}", "{# open", "{% else x %}", "{{ x // 2 }}", "{% generation y %}{% endgeneration %}", "{{ [1] }}", "{% if x %}{% else y %}{% endif %}", "{% macro f() %}"])
 def test_errors_at_compile_time(source):
     with pytest.raises(ct.TemplateError):
         ct.compile_template(source)
