@@ -1,18 +1,25 @@
-"""Near copies by exact Jaccard similarity of word shingles, found without a miss.
+"""Near copies: SimHash classes first, then whatever else has an exact Jaccard similarity of word shingles.
 
 A text is the set of its lower-cased word shingles; two texts link if their sets' Jaccard similarity
 is ``SIMILAR`` at least, and documents are one class if links connect them.
 
-Finding links. Equal sets are one node. Shingles have one order for all texts, rare ones first as
-far as a sample tells; two sets that link share a shingle among the first fifth or so of each
-(prefix filtering), whatever the order, so nodes meet by these shingles and by nothing else; pairs whose first common
-shingle comes too late for the similarity are passed over. While
-the pairs that meet are many, each shingle's nodes are compared with one of them only and what
-links is joined, so that a large group of copies is not compared pair by pair; then all pairs that
-are in no class together are. Every pair is confirmed on its whole sets.
+SimHash alone cannot give that: at a similarity of 0.8 fingerprints differ by about 5 to 12 bits, and
+an index over so many bits would hold each fingerprint some thousand times. So the fingerprints of the
+same shingles, linked by the Gray-order index of ``simhash``, find copies and close copies; each is
+confirmed on whole sets with the first one of its class. What these leave is found by prefixes.
+
+Prefixes. Equal sets are one node. Shingles have one order for all texts, rare ones first as
+far as a sample tells; two sets that link share a shingle among the first fifth or so of the larger
+and the first ninth of the smaller (prefix filtering), whatever the order, so nodes meet by these
+shingles and by nothing else; pairs whose first common shingle comes too late for the similarity are
+passed over. While the pairs that meet are many, each shingle's nodes are compared with one of them
+only and what links is joined, so that a large group of copies is not compared pair by pair; then all
+pairs that are in no class together are. Every pair is confirmed on its whole sets.
 
 Shingles are 48-bit hashes. Results in special cases: texts without words (null too) are equal; a
-text with fewer words than a shingle is one shingle; further columns are ignored.
+text with fewer words than a shingle is one shingle; repeated rows leave one; very long texts are
+hashed piece by piece, and their sets are one value of a row; an empty table gives no rows; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +32,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize, share, small_batches
-from tessera.llm.simhash import connected_components
+from tessera.llm.shared import in_slices, join_hot, materialize, share
+from tessera.llm.simhash import classes as simhash_classes
+from tessera.llm.simhash import connected_components, fingerprint_of, shingle_hashes
 
 SHINGLE = 5
 #: The similarity that links, as a fraction.
@@ -37,15 +45,9 @@ SAMPLE, LISTED = 8000, 200_000
 MEETINGS, STARS, YIELD = 8, 8, 0.2
 
 
-def grams(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+def grams(hashes: list[np.ndarray]) -> np.ndarray:
     """The distinct hashes of a text's shingles, sorted."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n, digest = len(words), xxhash.xxh64_intdigest
-    if n <= shingle:
-        found = [digest(b" ".join(words))] if words else []
-    else:
-        found = [digest(b" ".join(s)) for s in zip(*(words[k : n - shingle + 1 + k] for k in range(shingle)))]
-    return np.unique(np.array(found, np.uint64) >> np.uint64(16)).astype(np.int64)
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *hashes]) >> np.uint64(16)).astype(np.int64)
 
 
 def pack(found: np.ndarray) -> bytes:
@@ -63,8 +65,8 @@ def _common(texts: DataFrame) -> np.ndarray:
     """Common shingles of a sample, those of most texts last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *(grams(t.as_py()) for t in batch.column(0))]))], ["gram"])
+        for batch in in_slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *(grams(list(shingle_hashes(t.as_py(), SHINGLE))) for t in batch.column(0))]))], ["gram"])
 
     every = max(1, texts.count() // SAMPLE)
     sample = texts.filter(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(every)) == 0).select("text")
@@ -73,20 +75,21 @@ def _common(texts: DataFrame) -> np.ndarray:
 
 
 def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, node, n, first, packed): every row's set, its hash, size, first shingles and shingles."""
+    """(doc_id, text_hash, node, fp, n, first, packed): every row's set, its hash, fingerprint, size, first shingles and shingles."""
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    small_batches(documents.sparkSession)
     common = _common(rows)
     by_gram = np.argsort(common)
     shared = share(documents.sparkSession, (common[by_gram], by_gram))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, place = shared()
-        for batch in batches:
-            nodes, sizes, first, packed = [], [], [], []
+        for batch in in_slices(batches):
+            nodes, fps, sizes, first, packed = [], [], [], [], []
             for t in batch.column(2):
-                found = grams(t.as_py())
+                hashes = list(shingle_hashes(t.as_py(), SHINGLE))
+                fps.append(fingerprint_of(hashes))
+                found = grams(hashes)
                 n = len(found)
                 rank = np.full(n, -1)
                 if n and len(known):
@@ -98,10 +101,10 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
                 nodes.append(xxhash.xxh64_intdigest(packed[-1]) - (1 << 63))
                 sizes.append(n)
                 first.append(found[np.argsort(rank, kind="stable")[:keep]])
-            new = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "n", "first", "packed"])
+            new = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "fp", "n", "first", "packed"])
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, n int, first array<bigint>, packed binary"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp bigint, n int, first array<bigint>, packed binary"
     return materialize(rows.mapInArrow(compute, schema), "sets")
 
 
@@ -119,17 +122,23 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
 
 
+def close_copies(sets: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of one SimHash class, each with the class's first node, as far as whole sets confirm them."""
+    nodes = materialize(sets.groupBy("node").agg(F.first("fp").alias("fp")), "nodes")
+    known = nodes.join(simhash_classes(nodes.select("fp").distinct()), "fp")
+    first = known.groupBy("root").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = join_hot(known, materialize(first, "first"), "root", F.col("n"), nodes.count()).filter("node <> b")
+    return _confirm(materialize(pairs.select(F.col("node").alias("a"), "b"), "pairs"), sets)
+
+
 def classes(sets: DataFrame) -> DataFrame:
     """(node, root): a node that stands for its class, for every node with links."""
-    posts = materialize(sets.filter("n > 0").select("node", "n", "first").dropDuplicates(["node"]).select("node", "n", F.posexplode("first").alias("at", "gram")), "posts")
-    shared = Window.partitionBy("gram")
-    posts = materialize(posts.withColumn("met", F.count("*").over(shared)).filter("met > 1").drop("met"), "posts")
-    links, roots = None, None
-
-    def labelled() -> DataFrame:
-        if roots is None:
-            return posts.withColumn("root", F.col("node"))
-        return posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    links = close_copies(sets)
+    roots = connected_components(links)
+    once = sets.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("first").alias("first"))
+    posts = once.select("node", "n", F.posexplode("first").alias("at", "gram"))
+    shared = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    posts = materialize(posts.join(shared.drop("met"), "gram"), "posts")
 
     def fits(x, y) -> Column:
         """Whether the sets can link if this is the first shingle that they share: what they share is not before it in either."""
@@ -137,7 +146,7 @@ def classes(sets: DataFrame) -> DataFrame:
         return (SIMILAR[0] + SIMILAR[1]) * most >= SIMILAR[0] * (x["n"] + y["n"])
 
     for star in range(STARS):
-        now = labelled()
+        now = posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         blocks = now.groupBy("gram", "root").count().groupBy("gram").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
         met = blocks.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("posts")).first()
         if not met.pairs or met.pairs <= MEETINGS * met.posts:
@@ -146,15 +155,18 @@ def classes(sets: DataFrame) -> DataFrame:
         pairs = now.join(center, "gram").filter((F.col("root") != F.col("c.root")) & fits(now, F.col("c")))
         pairs = materialize(pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct(), "pairs")
         found = _confirm(pairs, sets)
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(found)
         roots = connected_components(links)
         if found.count() < YIELD * pairs.count():
             break
-    members = labelled().groupBy("gram", "root").agg(F.collect_list(F.struct("node", "n", "at")).alias("members"))
-    left, right = members.toDF("gram", "p", "xs"), members.toDF("gram", "q", "ys")
-    pairs = left.join(right, "gram").filter("p < q").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y")).filter(fits(F.col("x"), F.col("y")))
-    found = _confirm(materialize(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs"), sets)
-    return connected_components(found if links is None else links.unionByName(found))
+    now = materialize(posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "posts")
+    # the smaller of two sets that link has its first common shingle in its first ninth
+    x, y = now.filter((SIMILAR[0] + SIMILAR[1]) * F.col("at") <= (SIMILAR[1] - SIMILAR[0]) * F.col("n")).alias("x"), now.alias("y")
+    larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") > F.col("x.node")))
+    col = lambda side: {c: F.col(f"{side}.{c}") for c in ("n", "at")}
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & larger & fits(col("x"), col("y")))
+    found = _confirm(materialize(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs"), sets)
+    return connected_components(links.unionByName(found))
 
 
 def keep_one(documents: DataFrame, doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:

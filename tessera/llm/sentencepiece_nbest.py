@@ -15,7 +15,9 @@ stretches.
 Results in special cases: a null text has null ids and no segmentations; an empty text has one,
 without pieces, of score 0; U+2581 in a text becomes byte pieces, so decoding gives back every text
 exactly; equal scores order by where paths differ, so results do not depend on partitioning;
-repeated rows are each in the result; further columns are ignored, whatever their names.
+repeated rows are each in the result; a very long text is one row, searched stretch by stretch (a
+long stretch without a cut takes memory in proportion to it); an empty table gives no rows; further
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import share, small_batches
+from tessera.llm.shared import in_slices, share
 
 MARK = "▁"
 INFINITE = float("inf")
@@ -273,14 +275,13 @@ def encode(documents: DataFrame, model_file: str, n_best: int = N_BEST, doc_id:
     driver and its vocabulary, of fixed size, broadcast.
     """
     spark = documents.sparkSession
-    small_batches(spark)
     shared = share(spark, Memory(Vocabulary.load(model_file)))  # a worker's tasks share the memory
     edit = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
     other = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared().vocabulary, n_best, shared())
-        for batch in batches:
+        for batch in in_slices(batches, 1 << 20):
             held, sizes, scores, others, same = [], [], [], [], []
             for text in batch.column("text"):
                 text = text.as_py()
@@ -312,7 +313,7 @@ def decode(encoded: DataFrame, model_file: str, id_col: str = "ids", out: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared())
-        for batch in batches:
+        for batch in in_slices(batches, 1 << 20):
             texts = [None if ids is None else encoder.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", out])
 

@@ -16,12 +16,13 @@ connected to it already; a star contraction joins the forests into classes.
 
 Results in special cases: null and empty texts have fingerprint zero and link like any other; a
 text with fewer words than a shingle is one shingle; repeated rows are each in the result; a null
-doc_id never names a class unless all ids of the class are null; further columns are ignored.
+doc_id never names a class unless all ids of the class are null; very long texts are hashed piece by
+piece; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import discard, materialize, small_batches
+from tessera.llm.shared import discard, in_slices, join_hot, materialize
 
 BITS = 64
 MAX_BITS = 4
@@ -44,34 +45,42 @@ BLOCK, PART = 8192, 262_144
 FRONTIER = 2_000_000
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The 64-bit fingerprint of a whole text."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> Iterator[np.ndarray]:
+    """The hashes of a whole text's shingles, repeats included, some at a time; none without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
     n, digest = max(1, len(words) - shingle + 1), xxhash.xxh64_intdigest
-    counts = np.zeros(BITS, np.int64)
     step = 1 << 16  # bounded memory on very long texts
-    for at in range(0, n, step):
+    for at in range(0, n if words else 0, step):
         part = words[at : min(at + step, n) + shingle - 1]
         if n == 1:
-            hashes = [digest(b" ".join(words), seed)]
+            yield np.array([digest(b" ".join(words), seed)], np.uint64)
         else:
-            hashes = [digest(b" ".join(s), seed) for s in zip(*(part[k : len(part) - shingle + 1 + k] for k in range(shingle)))]
-        raw = np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8)
+            yield np.array([digest(b" ".join(s), seed) for s in zip(*(part[k : len(part) - shingle + 1 + k] for k in range(shingle)))], np.uint64)
+
+
+def fingerprint_of(hashes: Iterable[np.ndarray]) -> int:
+    """The fingerprint over all hashes: the bits set in more than half of them."""
+    counts, n = np.zeros(BITS, np.int64), 0
+    for part in hashes:
+        raw = part.astype(">u8").view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+        n += len(part)
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The 64-bit fingerprint of a whole text."""
+    return fingerprint_of(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, text_hash, fp): the fingerprint of every row as a signed long, and a hash of its text."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             fps = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    small_batches(documents.sparkSession)
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     return rows.mapInArrow(compute, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, fp bigint")
@@ -241,17 +250,21 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     in the number of nodes; if ``max_rounds`` did not suffice this raises.
     """
     edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    size = edges.count()
     for _ in range(max_rounds):
+        # what joins read is written before, so that Spark can split the rows of a hub over many tasks
         # large star: every neighbour above a node goes to the smallest one around it
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+        around = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least")
+        large = materialize(both.filter("b > a").join(around, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct(), "large")
         # small star: a node and its smaller neighbours go to the smallest of them
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        pairs = large.join(least, "a")
-        small = pairs.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(least.withColumnRenamed("least", "b")).filter("a <> b").distinct()
-        after = materialize(small, "edges")
-        done = after.exceptAll(edges).isEmpty() and after.count() == edges.count()
+        below = materialize(large.groupBy("a").agg(F.min("b").alias("least")), "least")
+        pairs = large.join(below, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        after = materialize(pairs.unionByName(below.select("a", F.col("least").alias("b"))).filter("a <> b").distinct(), "edges")
+        for used in (around, large, below):
+            discard(used)
+        before, size = size, after.count()
+        done = size == before and after.exceptAll(edges).isEmpty()
         discard(edges)
         edges = after
         if done:
@@ -262,12 +275,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def near_duplicates(documents: DataFrame, max_bits: int = MAX_BITS, doc_id: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, text_hash, fp, root, component_id): every row, with a fingerprint that stands for its class and the smallest doc_id of the class."""
     docs = materialize(fingerprints(documents, doc_id, text_col, shingle, seed), "fingerprints")
-    nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = connected_components(_forest_edges(nodes.select("fp"), max_bits))
-    linked = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = linked.join(smallest, "root").select("fp", "root", "component_id")
-    return docs.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "nodes")
+    linked = materialize(nodes.join(classes(nodes.select("fp"), max_bits), "fp"), "linked")
+    smallest = materialize(linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "smallest")
+    named = materialize(join_hot(linked, smallest, "root", F.col("n"), nodes.count()).select("fp", "root", "component_id", "rows"), "classes")
+    return join_hot(docs, named, "fp", F.col("rows"), docs.count()).select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, root): a fingerprint that stands for its class, for each of the distinct ``fp``."""
+    roots = connected_components(_forest_edges(fps, max_bits))
+    return fps.join(roots, fps.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def hex_digits(fp: str = "fp") -> Column:

@@ -1,13 +1,13 @@
 """The pipeline's rows against plain Python applied stage by stage."""
 
-import numpy as np
-
 import corpus_pipeline
 from tessera.llm import langid, quality, sentencepiece_nbest
 from tessera.llm.queries import PIECES, read
 from tests.llm.test_decontaminate import brute as hits
 from tests.llm.test_decontaminate import words
-from tests.llm.test_simhash import brute_classes, brute_fingerprint
+from tests.llm.test_langid import plain_fit, plain_row
+from tests.llm.test_near_copies import brute_kept
+from tests.llm.test_quality import plain_score
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,22 +18,14 @@ def test_rows_equal_plain_python(spark):
     rows = [r.asDict() for r in docs.collect()]
 
     model = quality.fit(docs, read(spark, SF, "labels"), ~langid.in_part("doc_id", 4, 2))
-    rows = [r for r in rows if model.forward(quality.encode(quality.passages(r["text"])), np.zeros(1, int))[0][0] >= quality.THRESHOLD]
-
-    learned = langid.fit(spark.createDataFrame(rows, docs.schema), ~langid.in_part("doc_id", 5, 0)).compressors()
-
-    def identified(text):
-        letters = langid.normalise(text)
-        size = np.sort(langid.sizes(letters, learned))
-        return bool(letters) and (1 - size[0] / size[1] >= langid.MIN_MARGIN or len(letters) < langid.MIN_LETTERS)
-
-    rows = [r for r in rows if identified(r["text"])]
-    classes = brute_classes([brute_fingerprint(r["text"]) for r in rows])
-    first = {}
-    for r, c in sorted(zip(rows, classes), key=lambda x: x[0]["doc_id"]):
-        first.setdefault(c, r)
+    rows = [r for r in rows if plain_score(r["text"], model) >= quality.THRESHOLD]
+    dictionaries = plain_fit([(r["doc_id"], r["text"], r["lang"]) for r in rows])
+    rows = [r for r in rows if plain_row(r["text"], dictionaries)[3]]
+    rows.sort(key=lambda r: r["doc_id"])
+    kept = brute_kept([(r["doc_id"], r["text"]) for r in rows])
+    rows = [r for r in rows if r["doc_id"] in kept]
     bench = [(r.item_id, r.text) for r in read(spark, SF, "benchmark").collect()]
-    rows = [r for r in first.values() if not (len(h := hits(r["text"], bench)[1]) > 0 and 20 * len(h) >= len(words(r["text"])))]
+    rows = [r for r in rows if not (len(h := hits(r["text"], bench)[1]) > 0 and 20 * len(h) >= len(words(r["text"])))]
     encoder = sentencepiece_nbest.Encoder(sentencepiece_nbest.Vocabulary.load(PIECES))
     want = {r["doc_id"]: (memoryview(e[0]).cast("i").tolist(), e[1]) for r in rows for e in [encoder.encode(r["text"])]}
     assert 0 < len(want) < docs.count() and got == want
