@@ -25,7 +25,11 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that a Jaccard similarity of 0.8 over five-word shingles connects, the document with the smallest id."""
+    """Of each group that a Jaccard similarity of 0.8 over five-word shingles connects, the document with the smallest id.
+
+    SimHash classes find the close copies; what lies beyond their 4 bits is found by prefixes. Both are
+    confirmed on whole sets.
+    """
     return near_copies.keep_one(docs)
 
 
