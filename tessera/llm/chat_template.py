@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import in_slices
+from tessera.llm.shared import in_slices, small_batches
 
 #: Turns between control strings; role and text escaped; the text of assistant turns is generated.
 CHATML = (
@@ -500,6 +500,7 @@ def compile_template(source: str) -> Callable[[list[dict]], tuple[str, list[tupl
 def format_conversations(rows: DataFrame, template: str = CHATML, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, formatted, spans): each conversation as one text, and the ranges [start, end) under the loss mask."""
     compile_template(template)  # raises here, not in tasks
+    small_batches(rows.sparkSession)
     said = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((role, "role"), (text, "text"))]
     turns = F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), *said))).alias("turns")
     whole = rows.groupBy(F.col(conv_id).alias("conv_id")).agg(turns)

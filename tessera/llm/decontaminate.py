@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import in_slices, join_hot, materialize, share
+from tessera.llm.shared import in_slices, join_hot, materialize, share, small_batches
 
 WINDOW = 13
 #: Bytes of window text in one automaton, which takes some sixty times as much memory in a worker. A benchmark beyond
@@ -124,6 +124,7 @@ def _in_order(items: Iterable[str | None]) -> list[str | None]:
 
 def _scanned(rows: DataFrame, automaton: ahocorasick.Automaton) -> DataFrame:
     """The rows, their text replaced by n_words, spans and items."""
+    small_batches(rows.sparkSession)
     shared = share(rows.sparkSession, automaton)
     kept = [f for f in rows.schema.fields if f.name != "text"]
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import in_slices
+from tessera.llm.shared import in_slices, small_batches
 
 #: A path is content if its fused ratio reaches this share of the page's mean, weighted by text length.
 THRESHOLD = 0.2
@@ -284,6 +284,7 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
 
 def extract(pages: DataFrame, page_id: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text): the main text of every page."""
+    small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):

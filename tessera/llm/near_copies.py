@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import in_slices, join_hot, materialize, share
+from tessera.llm.shared import in_slices, join_hot, materialize, may_match, share, small_batches
 from tessera.llm.simhash import classes as simhash_classes
 from tessera.llm.simhash import connected_components, fingerprint_of, shingle_hashes
 
@@ -78,6 +78,7 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
     """(doc_id, text_hash, node, fp, n, first, packed): every row's set, its hash, fingerprint, size, first shingles and shingles."""
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    small_batches(documents.sparkSession)
     common = _common(rows)
     by_gram = np.argsort(common)
     shared = share(documents.sparkSession, (common[by_gram], by_gram))
@@ -116,8 +117,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [similar(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    asked = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node")
-    held = materialize(sets.join(asked, "node").dropDuplicates(["node"]).select("node", "packed"), "candidates")
+    asked = materialize(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node"), "asked")
+    near = may_match(sets.select("node", "packed"), asked, "node").filter("maybe").drop("maybe")
+    held = materialize(near.join(asked, "node").groupBy("node").agg(F.first("packed").alias("packed")), "candidates")
     both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
     return materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
 
@@ -135,10 +137,10 @@ def classes(sets: DataFrame) -> DataFrame:
     """(node, root): a node that stands for its class, for every node with links."""
     links = close_copies(sets)
     roots = connected_components(links)
-    once = sets.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("first").alias("first"))
+    once = materialize(sets.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("first").alias("first")), "once")
     posts = once.select("node", "n", F.posexplode("first").alias("at", "gram"))
-    shared = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
-    posts = materialize(posts.join(shared.drop("met"), "gram"), "posts")
+    met = materialize(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("gram"), "grams")
+    posts = materialize(may_match(posts, met, "gram").filter("maybe").drop("maybe").join(met, "gram"), "posts")
 
     def fits(x, y) -> Column:
         """Whether the sets can link if this is the first shingle that they share: what they share is not before it in either."""

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import in_slices, share, text_of
+from tessera.llm.shared import in_slices, share, small_batches, text_of
 
 PASSAGE = 1024
 MAX_BAGS = 4000
@@ -203,6 +203,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray) -> Network | Constant:
 
 def fit(documents: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_bags: int = MAX_BAGS) -> Network | Constant:
     """Learn from the labelled documents whose label rows satisfy ``learn`` (a condition on ``doc_id`` of labels)."""
+    small_batches(documents.sparkSession)
     known = labels.filter(learn & F.col(label_col).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.avg(label_col).alias("_label"))
     known = known.join(documents.select(F.col(doc_id).alias("_id")), "_id", "left_semi")
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(max_bags)  # so the broadcast has max_bags rows at most

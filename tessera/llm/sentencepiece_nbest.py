@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import in_slices, share
+from tessera.llm.shared import in_slices, share, small_batches
 
 MARK = "▁"
 INFINITE = float("inf")
@@ -275,6 +275,7 @@ def encode(documents: DataFrame, model_file: str, n_best: int = N_BEST, doc_id:
     driver and its vocabulary, of fixed size, broadcast.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     shared = share(spark, Memory(Vocabulary.load(model_file)))  # a worker's tasks share the memory
     edit = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
     other = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))

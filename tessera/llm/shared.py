@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +15,10 @@ from pyspark.sql import functions as F
 
 #: Bytes of input that a task turns into one batch of output.
 SLICE_BYTES = 8 << 20
+#: Rows that Spark passes to Python at once where the session does not say: whole texts are large rows.
+BATCH_ROWS = 512
+#: Words of 64 bits in the map of ``may_match``.
+WORDS = 1 << 18
 #: A key is hot if it holds more than one row in so many: there are at most as many hot keys, whatever the table.
 HOT_SHARE = 1000
 
@@ -36,6 +39,17 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Pass ``BATCH_ROWS`` rows at a time to Python, if the session has Spark's own default there.
+
+    Spark looks at the setting when a query runs, so an operator that returns a DataFrame cannot put
+    it back; a session that sets it (as ``tessera.session`` does) is left as it is.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def in_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``max_bytes``, so that what a task makes of one is bounded by bytes, not rows."""
     for batch in batches:
@@ -46,6 +60,7 @@ def in_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -
 
 def text_of(documents: DataFrame, text_col: str) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
     """The rows as ``doc`` (and their text beside it only where it is no string), and what reads the texts from a batch."""
+    small_batches(documents.sparkSession)
     if documents.schema[text_col].dataType.typeName() == "string":
         at = documents.columns.index(text_col)
         return documents.select(F.struct("*").alias("doc")), lambda batch: batch.column("doc").field(at)
@@ -101,6 +116,14 @@ def join_hot(rows: DataFrame, unique: DataFrame, on: str, weight: Column, total:
     return spread.unionByName(marked.filter("_hot").drop("_hot").join(F.broadcast(hot), on, how))
 
 
-def runs(*columns: np.ndarray) -> np.ndarray:
-    """Where runs of equal values start, in columns of one length."""
-    return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)]) if len(columns[0]) else np.zeros(0, int)
+def may_match(rows: DataFrame, keys: DataFrame, on: str, words: int = WORDS) -> DataFrame:
+    """Add ``maybe``: false only if ``keys`` has no row with this value in the column ``on``.
+
+    A map of ``words`` words of 64 bits is broadcast, whatever the tables; with many more keys than
+    bits it says true to all rows. So rows that can have no match stay out of the shuffle of a join.
+    """
+    place = F.pmod(F.xxhash64(on), F.lit(64 * words))
+    word, bit = F.floor(place / 64).cast("int"), (place % 64).cast("int")
+    bits = keys.select(word.alias("_word"), bit.alias("_bit")).distinct().selectExpr("_word", "shiftleft(1L, _bit) AS b").groupBy("_word").agg(F.bit_or("b").alias("_bits"))
+    found = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word", "left")
+    return found.withColumn("maybe", F.coalesce(F.getbit("_bits", F.col("_bit")) == 1, F.lit(False))).drop("_word", "_bit", "_bits")

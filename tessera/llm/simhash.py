@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import discard, in_slices, join_hot, materialize
+from tessera.llm.shared import discard, in_slices, join_hot, materialize, small_batches
 
 BITS = 64
 MAX_BITS = 4
@@ -81,6 +81,7 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text_col: str = "
             fps = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
+    small_batches(documents.sparkSession)
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     return rows.mapInArrow(compute, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, fp bigint")

@@ -36,13 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import SLICE_BYTES, join_hot, materialize
+from tessera.llm.shared import SLICE_BYTES, join_hot, materialize, may_match, small_batches
 
 MIN_REVISIT = 1000
 #: Bytes of records, before compression, in one archive, about.
 ARCHIVE_BYTES = 64 << 20
-#: Bits of the map that tells which digests may be repeated, in words of 64.
-WORDS = 1 << 17
 LEVEL = 1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -72,22 +70,13 @@ def revisits(headers: DataFrame, min_revisit: int = MIN_REVISIT) -> tuple[DataFr
     return found.filter(~F.col("page_id").eqNullSafe(F.col("first"))).drop("n").withColumnRenamed("first", "refers_to"), repeated
 
 
-def may_repeat(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Add ``maybe``: false only if the row's digest is not among the repeated ones. The broadcast map has ``WORDS`` rows at most, whatever the tables."""
-    place = F.pmod(F.xxhash64("payload_digest"), F.lit(64 * WORDS))
-    word, bit = F.floor(place / 64).cast("int"), (place % 64).cast("int")
-    bits = repeated.select(word.alias("_word"), F.expr("shiftleft(1L, CAST(pmod(xxhash64(payload_digest), 64) AS INT))").alias("b")).groupBy("_word").agg(F.bit_or("b").alias("_bits"))
-    found = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word", "left")
-    return found.withColumn("maybe", F.coalesce(F.getbit("_bits", F.col("_bit")) == 1, F.lit(False))).drop("_word", "_bit", "_bits")
-
-
 def resolve(pages: DataFrame, page_id: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = MIN_REVISIT) -> DataFrame:
     """(page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to) of every page; revisits have no payload."""
     rows = headers_of(pages, page_id, url_col, html_col)
     heads = materialize(rows.drop("payload"), "headers")
     again, repeated = revisits(heads, min_revisit)
     again = materialize(again, "revisits")
-    judged = may_repeat(rows, repeated).withColumn("maybe", F.col("maybe") & (F.col("payload_bytes") >= min_revisit))
+    judged = may_match(rows, repeated, "payload_digest").withColumn("maybe", F.col("maybe") & (F.col("payload_bytes") >= min_revisit))
     # keyed by id and digest, so the copies of one payload go to many tasks
     gone = again.select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest")).distinct()
     unsure = judged.filter("maybe").join(gone, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("payload_digest") == F.col("_digest")), "left_anti")
@@ -139,6 +128,8 @@ def pack(record: bytes) -> bytes:
 def write(resolved: DataFrame, path: str, made: str = "1", archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write the pages' records as archives under ``path``."""
 
+    small_batches(resolved.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         whole = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["archive"])
