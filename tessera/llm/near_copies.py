@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import in_slices, join_hot, materialize, may_match, share, small_batches
+from tessera.llm.shared import discard, in_slices, join_hot, materialize, may_match, share, small_batches
 from tessera.llm.simhash import classes as simhash_classes
 from tessera.llm.simhash import connected_components, fingerprint_of, shingle_hashes
 
@@ -75,7 +75,7 @@ def _common(texts: DataFrame) -> np.ndarray:
 
 
 def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, node, fp, n, first, packed): every row's set, its hash, fingerprint, size, first shingles and shingles."""
+    """(doc_id, text_hash, node, fp, n, first): of every row's set its hash, fingerprint, size and first shingles."""
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     small_batches(documents.sparkSession)
@@ -86,7 +86,7 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, place = shared()
         for batch in in_slices(batches):
-            nodes, fps, sizes, first, packed = [], [], [], [], []
+            nodes, fps, sizes, first = [], [], [], []
             for t in batch.column(2):
                 hashes = list(shingle_hashes(t.as_py(), SHINGLE))
                 fps.append(fingerprint_of(hashes))
@@ -98,47 +98,75 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
                     rank = np.where(known[at] == found, place[at], -1)
                 # a set that links shares at least this part of this one
                 keep = n - -(-n * SIMILAR[0] // SIMILAR[1]) + 1 if n else 0
-                packed.append(pack(found))
-                nodes.append(xxhash.xxh64_intdigest(packed[-1]) - (1 << 63))
+                nodes.append(xxhash.xxh64_intdigest(pack(found)) - (1 << 63))
                 sizes.append(n)
                 first.append(found[np.argsort(rank, kind="stable")[:keep]])
-            new = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "fp", "n", "first", "packed"])
+            new = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "fp", "n", "first"])
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp bigint, n int, first array<bigint>, packed binary"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp bigint, n int, first array<bigint>"
     return materialize(rows.mapInArrow(compute, schema), "sets")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+class Sets:
+    """The table of ``_sets``, and the packed sets of the nodes asked for, made anew from their texts: sets are as large as the texts, and few are ever compared."""
+
+    def __init__(self, documents: DataFrame, doc_id: str, text_col: str):
+        text = F.col(text_col).cast("string")
+        self.texts = documents.select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
+        self.rows = _sets(documents, doc_id, text_col)
+        self.nodes = materialize(self.rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows")), "nodes")
+
+    def prefixes(self) -> DataFrame:
+        """(node, n, first) of each node with shingles; only what several rows may share is shuffled."""
+        rows = may_match(self.rows.filter("n > 0").select("node", "n", "first"), self.nodes.filter("rows > 1"), "node")
+        return rows.filter("NOT maybe").drop("maybe").unionByName(rows.filter("maybe").groupBy("node").agg(F.first("n").alias("n"), F.first("first").alias("first")))
+
+    def packed(self, asked: DataFrame) -> DataFrame:
+        """(node, packed) of the nodes asked for."""
+        wanted = materialize(asked.join(self.nodes, "node").select("node", "text_hash"), "asked")
+        near = may_match(self.texts, wanted, "text_hash").filter("maybe").drop("maybe")
+        found = near.join(wanted, "text_hash").groupBy("node").agg(F.first("text").alias("text"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in in_slices(batches):
+                sets = [pack(grams(list(shingle_hashes(t.as_py(), SHINGLE)))) for t in batch.column("text")]
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "packed"])
+
+        out = materialize(found.mapInArrow(run, "node bigint, packed binary"), "candidates")
+        discard(wanted)
+        return out
+
+
+def _confirm(pairs: DataFrame, sets: Sets) -> DataFrame:
     """The pairs (a, b, ...) whose whole sets link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             keep = [similar(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    asked = materialize(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node"), "asked")
-    near = may_match(sets.select("node", "packed"), asked, "node").filter("maybe").drop("maybe")
-    held = materialize(near.join(asked, "node").groupBy("node").agg(F.first("packed").alias("packed")), "candidates")
+    held = sets.packed(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node"))
     both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
-    return materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
+    found = materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
+    discard(held)
+    return found
 
 
-def close_copies(sets: DataFrame) -> DataFrame:
+def close_copies(sets: Sets) -> DataFrame:
     """Links (a, b) between nodes of one SimHash class, each with the class's first node, as far as whole sets confirm them."""
-    nodes = materialize(sets.groupBy("node").agg(F.first("fp").alias("fp")), "nodes")
+    nodes = sets.nodes.select("node", "fp")
     known = nodes.join(simhash_classes(nodes.select("fp").distinct()), "fp")
     first = known.groupBy("root").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     pairs = join_hot(known, materialize(first, "first"), "root", F.col("n"), nodes.count()).filter("node <> b")
     return _confirm(materialize(pairs.select(F.col("node").alias("a"), "b"), "pairs"), sets)
 
 
-def classes(sets: DataFrame) -> DataFrame:
+def classes(sets: Sets) -> DataFrame:
     """(node, root): a node that stands for its class, for every node with links."""
     links = close_copies(sets)
     roots = connected_components(links)
-    once = materialize(sets.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("first").alias("first")), "once")
-    posts = once.select("node", "n", F.posexplode("first").alias("at", "gram"))
+    posts = sets.prefixes().select("node", "n", F.posexplode("first").alias("at", "gram"))
     met = materialize(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("gram"), "grams")
     posts = materialize(may_match(posts, met, "gram").filter("maybe").drop("maybe").join(met, "gram"), "posts")
 
@@ -177,13 +205,18 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text_col: str = "text
     Of several rows with that doc_id in the class, the text with the smallest hash stays; of rows
     equal in both, any one.
     """
-    sets = _sets(documents, doc_id, text_col)
+    sets = Sets(documents, doc_id, text_col)
     roots = classes(sets)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    own = sets.groupBy("node").agg(F.min(rank).alias("kept"))
+    own = sets.rows.groupBy("node").agg(F.min(rank).alias("kept"))
     kept = own.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("kept").alias("kept"))
-    kept = kept.select(F.xxhash64("kept.doc_id").alias("_id"), F.col("kept.text_hash").alias("_hash"))
-    rows = documents.select(F.struct("*").alias("doc"), F.xxhash64(F.col(doc_id)).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_hash"))
-    first = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(1)))
-    rows = rows.join(kept, ["_id", "_hash"], "left_semi").withColumn("_n", first).filter("_n = 1")
-    return rows.select([F.col("doc").getField(c).alias(c) for c in documents.columns])
+    kept = kept.select(F.xxhash64(F.xxhash64("kept.doc_id"), "kept.text_hash").alias("_key"))
+    # rows whose key stands for one row, and that is kept, pass without a shuffle
+    keys = sets.rows.groupBy(F.xxhash64(F.xxhash64("doc_id"), "text_hash").alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    judged = materialize(keys.join(kept.withColumn("stays", F.lit(True)), "_key", "left"), "judged")
+    rows = documents.select(F.struct("*").alias("doc"), F.xxhash64(F.xxhash64(F.col(doc_id)), F.xxhash64(F.col(text_col).cast("string"))).alias("_key"))
+    rows = may_match(rows, judged.filter("n > 1 OR stays IS NULL"), "_key")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))
+    unsure = rows.filter("maybe").join(judged.filter("stays").select("_key"), "_key", "left_semi").withColumn("_n", first).filter("_n = 1")
+    found = rows.filter("NOT maybe").select("doc").unionByName(unsure.select("doc"))
+    return found.select([F.col("doc").getField(c).alias(c) for c in documents.columns])
