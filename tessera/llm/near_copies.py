@@ -14,7 +14,8 @@ and the first ninth of the smaller (prefix filtering), whatever the order, so no
 shingles and by nothing else; pairs whose first common shingle comes too late for the similarity are
 passed over. While the pairs that meet are many, each shingle's nodes are compared with one of them
 only and what links is joined, so that a large group of copies is not compared pair by pair; then all
-pairs that are in no class together are. Every pair is confirmed on its whole sets.
+pairs that are in no class together are. Every pair is confirmed on its whole sets; before these are
+made, the counts of both sets' shingles in ``BUCKETS`` buckets tell pairs that cannot share enough.
 
 Shingles are 48-bit hashes. Results in special cases: texts without words (null too) are equal; a
 text with fewer words than a shingle is one shingle; repeated rows leave one; very long texts are
@@ -42,7 +43,9 @@ SIMILAR = (4, 5)
 #: Documents that tell rare shingles from common ones, and common ones listed at most; both bear on the time only.
 SAMPLE, LISTED = 8000, 200_000
 #: Pairs of nodes that may meet for each shingle of a node, before they are compared with one of them only; rounds of that at most, and the share of a round's pairs that must link for another.
-MEETINGS, STARS, YIELD = 8, 8, 0.2
+MEETINGS, STARS, YIELD = 1, 8, 0.1
+#: Buckets in which a set's shingles are counted, in a byte each.
+BUCKETS = 128
 
 
 def grams(hashes: list[np.ndarray]) -> np.ndarray:
@@ -61,6 +64,22 @@ def similar(a: bytes, b: bytes) -> bool:
     return SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
 
 
+def counts(found: np.ndarray) -> bytes | None:
+    """How many of a set's shingles fall into each bucket; nothing if a byte does not hold that."""
+    each = np.bincount(found & (BUCKETS - 1), minlength=BUCKETS)
+    return each.astype(np.uint8).tobytes() if len(found) == 0 or each.max() < 256 else None
+
+
+def may_link(x: list[bytes | None], y: list[bytes | None]) -> np.ndarray:
+    """Whether sets with these counts can link: what they share is at most the smaller count in each bucket."""
+    out = np.array([a is None or b is None for a, b in zip(x, y)], bool)
+    at = np.flatnonzero(~out)
+    if len(at):
+        a, b = (np.frombuffer(b"".join(s[i] for i in at), np.uint8).reshape(-1, BUCKETS).astype(np.int32) for s in (x, y))
+        out[at] = (SIMILAR[0] + SIMILAR[1]) * np.minimum(a, b).sum(axis=1) >= SIMILAR[0] * (a.sum(axis=1) + b.sum(axis=1))
+    return out
+
+
 def _common(texts: DataFrame) -> np.ndarray:
     """Common shingles of a sample, those of most texts last."""
 
@@ -75,7 +94,7 @@ def _common(texts: DataFrame) -> np.ndarray:
 
 
 def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, node, fp, n, first): of every row's set its hash, fingerprint, size and first shingles."""
+    """(doc_id, text_hash, node, fp, n, first, counted): of every row's set its hash, fingerprint, size, first shingles and counts in buckets."""
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     small_batches(documents.sparkSession)
@@ -86,7 +105,7 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, place = shared()
         for batch in in_slices(batches):
-            nodes, fps, sizes, first = [], [], [], []
+            nodes, fps, sizes, first, counted = [], [], [], [], []
             for t in batch.column(2):
                 hashes = list(shingle_hashes(t.as_py(), SHINGLE))
                 fps.append(fingerprint_of(hashes))
@@ -100,11 +119,12 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
                 keep = n - -(-n * SIMILAR[0] // SIMILAR[1]) + 1 if n else 0
                 nodes.append(xxhash.xxh64_intdigest(pack(found)) - (1 << 63))
                 sizes.append(n)
+                counted.append(counts(found))
                 first.append(found[np.argsort(rank, kind="stable")[:keep]])
-            new = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "fp", "n", "first"])
+            new = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array(counted, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "fp", "n", "first", "counted"])
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp bigint, n int, first array<bigint>"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp bigint, n int, first array<bigint>, counted binary"
     return materialize(rows.mapInArrow(compute, schema), "sets")
 
 
@@ -115,7 +135,7 @@ class Sets:
         text = F.col(text_col).cast("string")
         self.texts = documents.select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
         self.rows = _sets(documents, doc_id, text_col)
-        self.nodes = materialize(self.rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.count(F.lit(1)).alias("rows")), "nodes")
+        self.nodes = materialize(self.rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("counted").alias("counted"), F.count(F.lit(1)).alias("rows")), "nodes")
 
     def prefixes(self) -> DataFrame:
         """(node, n, first) of each node with shingles; only what several rows may share is shuffled."""
@@ -146,13 +166,32 @@ def _confirm(pairs: DataFrame, sets: Sets) -> DataFrame:
             keep = [similar(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(batch.column("x").to_pylist(), batch.column("y").to_pylist())))
+
+    known = sets.nodes.select("node", "counted")
+    both = pairs.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
+    pairs = materialize(both.select("a", "b", "x", "y").mapInArrow(possible, "a bigint, b bigint"), "possible")
     held = sets.packed(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node"))
     both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
     found = materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
     discard(held)
+    discard(pairs)
     return found
 
 
+def _undecided(posts: DataFrame, roots: DataFrame) -> DataFrame:
+    """The posts (node, n, at, gram, root) of shingles whose nodes are not all in one class: no others can bring two classes together."""
+    now = posts.select("node", "n", "at", "gram").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = now.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("gram")
+    open_ = materialize(open_, "grams")
+    kept = materialize(may_match(now, open_, "gram").filter("maybe").drop("maybe").join(open_, "gram"), "posts")
+    discard(posts)
+    discard(open_)
+    return kept
+
+
 def close_copies(sets: Sets) -> DataFrame:
     """Links (a, b) between nodes of one SimHash class, each with the class's first node, as far as whole sets confirm them."""
     nodes = sets.nodes.select("node", "fp")
@@ -176,20 +215,20 @@ def classes(sets: Sets) -> DataFrame:
         return (SIMILAR[0] + SIMILAR[1]) * most >= SIMILAR[0] * (x["n"] + y["n"])
 
     for star in range(STARS):
-        now = posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        blocks = now.groupBy("gram", "root").count().groupBy("gram").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
+        posts = _undecided(posts, roots)
+        blocks = posts.groupBy("gram", "root").count().groupBy("gram").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
         met = blocks.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("posts")).first()
         if not met.pairs or met.pairs <= MEETINGS * met.posts:
             break
-        center = now.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(star)).alias("by"), "node", "n", "at", "root")).alias("c"))
-        pairs = now.join(center, "gram").filter((F.col("root") != F.col("c.root")) & fits(now, F.col("c")))
+        center = posts.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(star)).alias("by"), "node", "n", "at", "root")).alias("c"))
+        pairs = posts.join(center, "gram").filter((F.col("root") != F.col("c.root")) & fits(posts, F.col("c")))
         pairs = materialize(pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct(), "pairs")
         found = _confirm(pairs, sets)
         links = links.unionByName(found)
         roots = connected_components(links)
         if found.count() < YIELD * pairs.count():
             break
-    now = materialize(posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "posts")
+    now = _undecided(posts, roots)
     # the smaller of two sets that link has its first common shingle in its first ninth
     x, y = now.filter((SIMILAR[0] + SIMILAR[1]) * F.col("at") <= (SIMILAR[1] - SIMILAR[0]) * F.col("n")).alias("x"), now.alias("y")
     larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") > F.col("x.node")))

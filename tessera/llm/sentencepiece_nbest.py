@@ -47,7 +47,7 @@ UNKNOWN_PENALTY = 10.0
 #: Scores at or below this mark pieces of last resort, which do not set the cost of unknown characters.
 LAST_RESORT = -1e8
 #: Stretches remembered at most, twice, and the longest remembered.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 150_000, 48
 
 EDITS = "array<struct<score:double,edits:array<struct<at:int,n:int,ids:array<int>>>>>"
 
