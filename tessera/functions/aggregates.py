@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.sqlsafe import quote_text
+
 
 def array_agg(x: str | Column, order_by: str | Column | None = None, descending: bool = False) -> Column:
     """All values, nulls too; ordered by ``order_by`` (nulls last either way), ties by the value."""
@@ -24,8 +26,8 @@ def array_agg(x: str | Column, order_by: str | Column | None = None, descending:
 
 
 def string_agg(x: str, separator: str, distinct: bool = False) -> Column:
-    """The values in their own order, joined."""
-    return F.expr(f"listagg({'DISTINCT ' if distinct else ''}{x}, '{separator}') WITHIN GROUP (ORDER BY {x})")
+    """The values in their own order, joined. A group's values are one text, so they must fit a task."""
+    return F.expr(f"listagg({'DISTINCT ' if distinct else ''}{x}, {quote_text(separator)}) WITHIN GROUP (ORDER BY {x})")
 
 
 def mode(x: str, descending: bool = False) -> Column:

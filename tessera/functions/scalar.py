@@ -12,19 +12,30 @@ def _col(x: Arg) -> Column:
     return x if isinstance(x, Column) else F.col(x) if isinstance(x, str) else F.lit(x)
 
 
+#: From here on every double is whole.
+_WHOLE = float(2**53)
+
+
+def _unless_whole(x: Column, rounded: Column) -> Column:
+    return F.when(F.abs(x.cast("double")) >= _WHOLE, x.cast("double")).otherwise(rounded.cast("double"))
+
+
 def floor(x: Arg) -> Column:
-    return F.floor(_col(x)).cast("double")
+    return _unless_whole(_col(x), F.floor(_col(x)))
 
 
 def ceil(x: Arg) -> Column:
-    return F.ceil(_col(x)).cast("double")
+    return _unless_whole(_col(x), F.ceil(_col(x)))
 
 
 def trunc(x: Arg, digits: int = 0) -> Column:
-    """Towards zero; to ``digits`` decimals if given."""
-    by = F.lit(10.0**digits)
-    whole = F.signum(_col(x)) * F.floor(F.abs(_col(x)) * by)
-    return (whole / by if digits else whole).cast("double")
+    """Towards zero; to ``digits`` decimals if given, as the number is written."""
+    value = _col(x)
+    if digits <= 0:
+        by = F.lit(10.0**-digits)
+        return _unless_whole(value, F.signum(value) * F.floor(F.abs(value) / by) * by)
+    written = value.cast("decimal(38,18)").cast("string")
+    return _unless_whole(value, F.regexp_extract(written, rf"^-?\d+\.\d{{0,{min(digits, 18)}}}", 0))
 
 
 def sign(x: Arg) -> Column:
@@ -57,7 +68,7 @@ def power(x: Arg, y: Arg) -> Column:
 
 def to_int(x: Arg, kind: str = "int") -> Column:
     """int4, int8 by ``kind`` int or bigint: halves go to the even neighbour."""
-    return F.bround(_col(x).cast("double"), 0).cast(kind)
+    return F.bround(_col(x), 0).cast(kind)
 
 
 def substr(s: Arg, start: int, length: int | None = None) -> Column:
@@ -95,7 +106,7 @@ def days_between(later: Arg, earlier: Arg) -> Column:
 
 def epoch(ts: Arg) -> Column:
     """Whole seconds since 1970 of a timestamp without zone, read as UTC."""
-    return F.unix_timestamp(F.to_utc_timestamp(_col(ts).cast("timestamp"), "UTC"))
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), _col(ts).cast("timestamp_ntz"))
 
 
 def l2_distance(a: Arg, b: Arg) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,9 +14,18 @@ def in_ranges(points: DataFrame, value: str, ranges: DataFrame, low: str, high:
     Null and empty ranges match nothing. ``width`` should be about the usual length of a range.
     """
     bucket = lambda x: F.floor(x / F.lit(width)).cast("bigint")
-    dealt = ranges.filter(F.col(low) < F.col(high)).withColumn("_bucket", F.explode(F.sequence(bucket(F.col(low)), bucket(F.col(high)))))
-    placed = points.withColumn("_bucket", bucket(F.col(value)))
-    return placed.join(dealt, "_bucket").filter((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("_bucket")
+    name = free_name("_bucket", points, ranges)
+    dealt = ranges.filter(F.col(low) < F.col(high)).withColumn(name, F.explode(F.sequence(bucket(F.col(low)), bucket(F.col(high)))))
+    placed = points.withColumn(name, bucket(F.col(value)))
+    return placed.join(dealt, name).filter((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop(name)
+
+
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, with as many underscores before it as none of the tables has a column of that name."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def salted(large: DataFrame, small: DataFrame, keys: list[str], salts: int, how: str = "inner") -> DataFrame:
@@ -26,11 +35,8 @@ def salted(large: DataFrame, small: DataFrame, keys: list[str], salts: int, how:
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how!r} would repeat rows of the small side")
-    dealt = large.withColumn("_salt", F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
-
-
-def theta(left: DataFrame, right: DataFrame, condition: Column, how: str = "inner") -> DataFrame:
-    """Any condition; equalities in it are found by Catalyst and used for a shuffled join."""
-    return left.join(right, condition, how)
+    name = free_name("_salt", large, small)
+    # by the row's place in its partition, so that equal rows are dealt out too; a task that is run again may deal otherwise, with the same result
+    dealt = large.withColumn(name, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    repeated = small.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(repeated, [*keys, name], how).drop(name)

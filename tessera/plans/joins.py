@@ -45,7 +45,7 @@ def join_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     a, b = n.alias("a"), n.alias("b")
-    joined = op.theta(a, b, F.expr("a.n_nationkey < b.n_nationkey AND a.n_regionkey >= b.n_regionkey"))
+    joined = a.join(b, F.expr("a.n_nationkey < b.n_nationkey AND a.n_regionkey >= b.n_regionkey"))
     return joined.select(F.col("a.n_name").alias("low"), F.col("b.n_name").alias("high"))
 
 

@@ -21,6 +21,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )

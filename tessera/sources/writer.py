@@ -26,9 +26,9 @@ def append(spark: SparkSession, table: tuple[str, ...], rows: DataFrame) -> None
     aligned(rows, spark.table(name)).write.insertInto(name)
 
 
-def copy_to_parquet(rows: DataFrame, path: str, *partition_by: str) -> None:
-    """COPY (query) TO 'path'."""
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def copy_to_parquet(rows: DataFrame, path: str, *partition_by: str, overwrite: bool = False) -> None:
+    """COPY (query) TO 'path'; what is there already is an error unless it is to be overwritten."""
+    rows.write.mode("overwrite" if overwrite else "errorifexists").partitionBy(*partition_by).parquet(path)
 
 
 def create_table_as(table: tuple[str, ...], rows: DataFrame, replace: bool = False) -> None:

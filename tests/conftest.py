@@ -11,8 +11,9 @@ from tessera.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = get_session("local[4]", 4, **{"spark.sql.maxMetadataStringLength": "2000"})
+def spark(tmp_path_factory):
+    shared = f"file://{tmp_path_factory.mktemp('shared')}"
+    session = get_session("local[4]", 4, **{"spark.sql.maxMetadataStringLength": "2000", "spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -23,6 +23,8 @@ def value(spark, column):
         (lambda: fn.log(F.lit(100.0)), 2.0), (lambda: fn.ln(F.lit(0.0)), None), (lambda: fn.trunc(F.lit(-1.7)), -1.0), (lambda: fn.trunc(F.lit(1.279), 2), 1.27),
         (lambda: fn.floor(F.lit(-0.5)), -1.0), (lambda: fn.ceil(F.lit(1.2)), 2.0), (lambda: fn.sign(F.lit(-3)), -1.0), (lambda: fn.mod(F.lit(-7), 3), -1), (lambda: fn.mod(F.lit(7), 0), None),
         (lambda: fn.divide(F.lit(1), 0), None), (lambda: fn.divide(F.lit(7), 2), 3.5), (lambda: fn.to_int(F.lit(2.5)), 2), (lambda: fn.to_int(F.lit(3.5)), 4), (lambda: fn.to_int(F.lit(-2.7)), -3),
+        (lambda: fn.floor(F.lit(1e19)), 1e19), (lambda: fn.ceil(F.lit(-1e19)), -1e19), (lambda: fn.trunc(F.lit(1e19)), 1e19), (lambda: fn.trunc(F.lit(1.15), 2), 1.15), (lambda: fn.trunc(F.lit(-1.159), 2), -1.15), (lambda: fn.trunc(F.lit(1279.0), -2), 1200.0),
+        (lambda: fn.to_int(F.lit(2**53 + 1), "bigint"), 2**53 + 1), (lambda: fn.to_int(F.lit(0.5).cast("decimal(3,1)")), 0), (lambda: fn.epoch(F.lit("1970-01-02 00:00:01").cast("timestamp_ntz")), 86401),
         (lambda: fn.substr(F.lit("hello"), 0, 2), "h"), (lambda: fn.substr(F.lit("hello"), -1, 4), "he"), (lambda: fn.substr(F.lit("hello"), 2), "ello"), (lambda: fn.substr(F.lit("hello"), -5, 2), ""),
         (lambda: fn.ltrim(F.lit("xxaxx"), "x"), "axx"), (lambda: fn.rtrim(F.lit("xxaxx"), "x"), "xxa"), (lambda: fn.btrim(F.lit("  a ")), "a"), (lambda: fn.length(F.lit("é😀")), 2),
         (lambda: fn.date_plus(F.lit("2025-01-01"), 31), datetime.date(2025, 2, 1)), (lambda: fn.l2_distance(F.array(F.lit(0), F.lit(3)), F.array(F.lit(4), F.lit(0))), 5.0),
@@ -46,10 +48,11 @@ def test_aggregates_keep_nulls_and_order(spark):
     rows = spark.createDataFrame([(1, "b"), (2, None), (None, "a"), (2, "c"), (2, "c")], "k int, s string")
     r = rows.agg(
         agg.array_agg("s").alias("plain"), agg.array_agg("s", "k").alias("up"), agg.array_agg("s", "k", descending=True).alias("down"), agg.mode("k").alias("mode"), agg.mode("s", descending=True).alias("smode"),
-        agg.string_agg("s", "+").alias("joined"), agg.string_agg("s", "+", distinct=True).alias("once"), agg.percentile_disc("k", 0.5).cast("int").alias("p"), agg.where("count(*)", "k = 2").alias("twos"), agg.json_agg("k").alias("js"),
+        agg.string_agg("s", "+").alias("joined"), agg.string_agg("s", "+", distinct=True).alias("once"), agg.string_agg("s", "'", distinct=True).alias("quoted"), agg.percentile_disc("k", 0.5).cast("int").alias("p"), agg.where("count(*)", "k = 2").alias("twos"), agg.json_agg("k").alias("js"),
     ).first()
     assert sorted(map(str, r.plain)) == ["None", "a", "b", "c", "c"]
     assert r.up[0] == "b" and r.up[-1] == "a" and len(r.up) == 5 and r.down[-1] == "a" and r.down[-2] == "b"
+    assert r.quoted == "a'b'c"
     assert (r.mode, r.smode, r.joined, r.once, r.p, r.twos) == (2, "c", "a+b+c+c", "a+b+c", 2, 3)
 
 
@@ -72,6 +75,13 @@ def test_salted_join_equals_plain_join(spark, how):
     assert sorted(map(str, joins.salted(large, small, ["k"], 5, how).collect())) == sorted(map(str, large.join(small, ["k"], how).collect()))
 
 
+def test_joins_keep_columns_of_their_own_names(spark):
+    large = spark.createDataFrame([(1, 2, 3)], "k int, _salt int, _bucket int")
+    small = spark.createDataFrame([(1, "a", 0.0, 5.0)], "k int, w string, low double, high double")
+    assert [tuple(r) for r in joins.salted(large, small.select("k", "w"), ["k"], 3).collect()] == [(1, 2, 3, "a")]
+    assert joins.in_ranges(large, "_bucket", small.drop("k"), "low", "high", 2.0).columns == ["k", "_salt", "_bucket", "w", "low", "high"]
+
+
 def test_salted_full_join_is_refused(spark):
     with pytest.raises(ValueError):
         joins.salted(spark.range(1), spark.range(1), ["id"], 2, "full")

@@ -131,6 +131,21 @@ def test_names_and_relations(spark):
         resolve(spark, "(SELECT 1; SELECT 2)")
 
 
+def test_csv_options_and_lists(spark, tmp_path):
+    for name, text in (("a.csv", "x|y\n1|NA\n"), ("b.csv", "x|y\n2|q\n"), ("t.tsv", "x\ty\n3\tz\n")):
+        (tmp_path / name).write_text(text)
+    base = str(tmp_path)
+    rows = lambda source: sorted(tuple(r) for r in resolve(spark, source, base).collect())
+    assert rows("read_csv('a.csv', delim='|', nullstr='NA')") == [(1, None)]
+    assert rows("read_csv(['a.csv', 'b.csv'], sep = '|')") == [(1, "NA"), (2, "q")]
+    assert rows("read_csv('b.csv', delim='|', header=false)") == [("2", "q"), ("x", "y")]
+    assert rows("t.tsv") == [(3, "z")]
+    assert resolve(spark, f"read_parquet(['{SF}/nation.parquet', '{SF}/nation.parquet'])").count() == 50
+    for bad in ("read_csv('a.csv', nosuch=1)", "read_csv(a.csv)", "read_parquet('x.parquet', delim='|')"):
+        with pytest.raises(RelationError):
+            resolve(spark, bad, base)
+
+
 @pytest.mark.parametrize(
     ("name", "kind"),
     [
