@@ -12,7 +12,8 @@ the smaller id). The index is a table: build it once, search it many times.
 
 Results in special cases: vectors null, empty, zero or with null or non-finite components take no
 part, nor do null ids; vectors meet only those of their own length; rows that repeat an id with
-another vector are one candidate, at its best score; repeated rows count once; fewer candidates
+another vector are one candidate, at its best score; vectors that differ by little are told apart in
+double precision; repeated rows count once; fewer candidates
 than ``k`` are all returned; further columns are ignored, whatever their names.
 """
 
@@ -59,7 +60,7 @@ class Graph:
         scaled = vectors / np.abs(vectors).max()
         square = (scaled * scaled).sum(axis=1)
         self.square = float(square.max())
-        self.x = np.c_[scaled, np.sqrt(np.maximum(self.square - square, 0))].astype(np.float32)
+        self.x = np.c_[scaled, np.sqrt(np.maximum(self.square - square, 0))]
         self.entry = int((self.x @ self.x.mean(axis=0)).argmax())
         self.edges = edges
 
@@ -67,7 +68,7 @@ class Graph:
         """Ids and nearness (inner products) of the beam's points for each query, nearest first; -1 where there are fewer."""
         rows = np.arange(len(queries))[:, None]
         ids = np.full((len(queries), beam), -1)
-        near = np.full((len(queries), beam), -np.inf, np.float32)
+        near = np.full((len(queries), beam), -np.inf)
         open_ = np.zeros((len(queries), beam), bool)
         seen = np.zeros((len(queries), len(self.x)), bool)
         ids[:, 0], near[:, 0], open_[:, 0], seen[:, self.entry] = self.entry, queries @ self.x[self.entry], True, True
@@ -115,13 +116,18 @@ class Graph:
 
     def insert(self, new: np.ndarray) -> None:
         """Search, prune, and add edges both ways."""
-        found, _ = self.search(self.x[new], BUILD_BEAM)
+        self.connect(new, self.search(self.x[new], BUILD_BEAM)[0])
+
+    def connect(self, new: np.ndarray, found: np.ndarray) -> None:
+        """Give the new points edges to what pruning leaves of the candidates found, and these edges back."""
         self.edges[new] = self.prune(new, found)
         target = self.edges[new].ravel()
         source = np.repeat(new, DEGREE)[target >= 0]
         target = target[target >= 0]
         order = np.argsort(target, kind="stable")
         target, source = target[order], source[order]
+        there = (self.edges[target] == source[:, None]).any(axis=1)
+        target, source = target[~there], source[~there]
         points, start, count = np.unique(target, return_index=True, return_counts=True)
         place = np.arange(len(target)) - np.repeat(start, count)
         back = np.full((len(points), int(count.max(initial=0))), -1)
@@ -141,7 +147,7 @@ class Graph:
         order = np.r_[self.entry, order[order != self.entry]]
         done = min(n, 2 * DEGREE)
         if n > 1:  # the first points see each other all
-            self.edges[order[:done]] = self.prune(order[:done], np.tile(order[:done], (done, 1)))
+            self.connect(order[:done], np.tile(order[:done], (done, 1)))
         while done < n:
             size = min(BATCH, done, n - done)
             self.insert(order[done : done + size])
@@ -218,7 +224,7 @@ def answers(graph: Graph, members: list[list[int]], asked: pa.RecordBatch, k: in
     own = asked.column("id").to_pylist()
     queries = asked.column("vec").flatten().to_numpy().reshape(len(own), -1)
     scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
-    ids, _ = graph.search(np.c_[scaled, np.zeros(len(own))].astype(np.float32), max(beam, k + 1))
+    ids, _ = graph.search(np.c_[scaled, np.zeros(len(own))], max(beam, k + 1))
     scores = (graph.vectors[ids] * queries[:, None, :]).sum(axis=2)
     rows: list[tuple[int, int, float]] = []
     for q, nodes, values in zip(own, ids.tolist(), scores.tolist()):

@@ -62,6 +62,20 @@ def test_recall(spark, spread):
     assert all(abs(r.score - s[r.query_id, r.vec_id]) < 1e-9 for r in found)
 
 
+@pytest.mark.parametrize("jitter", [1e-2, 1e-4, 1e-6])
+@pytest.mark.parametrize("size", [2, 60, 500])
+def test_groups_of_jittered_copies(jitter, size):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1000, 32))
+    x = np.r_[x, x[0] + jitter * rng.normal(size=(size, 32))].astype(np.float32).astype(float)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    g = ann.Graph(x).build()
+    asked = np.r_[0:20, 1000 : 1000 + min(size, 40)]
+    ids, _ = g.search(np.c_[x[asked] / np.abs(x[asked]).max(axis=1, keepdims=True), np.zeros(len(asked))], ann.BEAM)
+    true = np.argsort(-(x[asked] @ x.T), axis=1, kind="stable")[:, :20]
+    assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(ids.tolist(), true.tolist())]) >= 0.95
+
+
 def test_edges_are_diverse_and_bounded():
     g = ann.Graph(rows_of(3, 500, 8)).build()
     assert g.edges.shape == (500, ann.DEGREE)
