@@ -43,7 +43,7 @@ SIMILAR = (4, 5)
 #: Documents that tell rare shingles from common ones, and common ones listed at most; both bear on the time only.
 SAMPLE, LISTED = 8000, 200_000
 #: Pairs of nodes that may meet for each shingle of a node, before they are compared with one of them only; rounds of that at most, and the share of a round's pairs that must link for another.
-MEETINGS, STARS, YIELD = 1, 8, 0.1
+MEETINGS, STARS, YIELD = 8, 8, 0.1
 #: Buckets in which a set's shingles are counted, in a byte each.
 BUCKETS = 128
 

@@ -56,6 +56,7 @@ def in_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -
         rows = max(1, int(max_bytes * batch.num_rows / max(batch.nbytes, 1)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def text_of(documents: DataFrame, text_col: str) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
