@@ -12,10 +12,11 @@ Prefixes. Equal sets are one node. Shingles have one order for all texts, rare o
 far as a sample tells; two sets that link share a shingle among the first fifth or so of the larger
 and the first ninth of the smaller (prefix filtering), whatever the order, so nodes meet by these
 shingles and by nothing else; pairs whose first common shingle comes too late for the similarity are
-passed over. While the pairs that meet are many, each shingle's nodes are compared with one of them
+passed over. Where the pairs that meet at a shingle are many, its nodes are compared with one of them
 only and what links is joined, so that a large group of copies is not compared pair by pair; then all
 pairs that are in no class together are. Every pair is confirmed on its whole sets; before these are
-made, the counts of both sets' shingles in ``BUCKETS`` buckets tell pairs that cannot share enough.
+made, the counts of both sets' shingles in ``BUCKETS`` buckets tell pairs that cannot share enough, and
+then those in up to ``FINE`` buckets do.
 
 Shingles are 48-bit hashes. Results in special cases: texts without words (null too) are equal; a
 text with fewer words than a shingle is one shingle; repeated rows leave one; very long texts are
@@ -42,10 +43,10 @@ SHINGLE = 5
 SIMILAR = (4, 5)
 #: Documents that tell rare shingles from common ones, and common ones listed at most; both bear on the time only.
 SAMPLE, LISTED = 8000, 200_000
-#: Pairs of nodes that may meet for each shingle of a node, before they are compared with one of them only; rounds of that at most, and the share of a round's pairs that must link for another.
+#: Pairs that may meet at a shingle for each of its nodes, before these are compared with one of them only; rounds of that at most, and the share of a round's pairs that must link for another.
 MEETINGS, STARS, YIELD = 8, 8, 0.1
-#: Buckets in which a set's shingles are counted, in a byte each.
-BUCKETS = 128
+#: Buckets in which a set's shingles are counted, in a byte each: those that every pair is judged by, and most of those for pairs that these leave.
+BUCKETS, FINE = 128, 1024
 
 
 def grams(hashes: list[np.ndarray]) -> np.ndarray:
@@ -64,9 +65,9 @@ def similar(a: bytes, b: bytes) -> bool:
     return SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
 
 
-def counts(found: np.ndarray) -> bytes | None:
+def counts(found: np.ndarray, buckets: int = BUCKETS) -> bytes | None:
     """How many of a set's shingles fall into each bucket; nothing if a byte does not hold that."""
-    each = np.bincount(found & (BUCKETS - 1), minlength=BUCKETS)
+    each = np.bincount(found & (buckets - 1), minlength=buckets)
     return each.astype(np.uint8).tobytes() if len(found) == 0 or each.max() < 256 else None
 
 
@@ -80,6 +81,20 @@ def may_link(x: list[bytes | None], y: list[bytes | None]) -> np.ndarray:
     return out
 
 
+def fine_counts(found: np.ndarray) -> bytes | None:
+    """The counts in about as many buckets as the set has shingles, a power of two of ``FINE`` at most."""
+    return counts(found, min(FINE, 1 << len(found).bit_length()))
+
+
+def may_link_finely(x: bytes | None, y: bytes | None) -> bool:
+    """Whether sets with these fine counts can link; the buckets of the larger number are put together."""
+    if x is None or y is None:
+        return True
+    size = min(len(x), len(y))
+    a, b = (np.frombuffer(s, np.uint8).reshape(-1, size).sum(axis=0, dtype=np.int32) for s in (x, y))
+    return bool((SIMILAR[0] + SIMILAR[1]) * np.minimum(a, b).sum() >= SIMILAR[0] * (a.sum() + b.sum()))
+
+
 def _common(texts: DataFrame) -> np.ndarray:
     """Common shingles of a sample, those of most texts last."""
 
@@ -94,7 +109,7 @@ def _common(texts: DataFrame) -> np.ndarray:
 
 
 def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, node, fp, n, first, counted): of every row's set its hash, fingerprint, size, first shingles and counts in buckets."""
+    """(doc_id, text_hash, node, fp, n, first, counted, fine): of every row's set its hash, fingerprint, size, first shingles and counts in buckets."""
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     small_batches(documents.sparkSession)
@@ -105,7 +120,7 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, place = shared()
         for batch in in_slices(batches):
-            nodes, fps, sizes, first, counted = [], [], [], [], []
+            nodes, fps, sizes, first, counted, fine = [], [], [], [], [], []
             for t in batch.column(2):
                 hashes = list(shingle_hashes(t.as_py(), SHINGLE))
                 fps.append(fingerprint_of(hashes))
@@ -120,11 +135,12 @@ def _sets(documents: DataFrame, doc_id: str, text_col: str) -> DataFrame:
                 nodes.append(xxhash.xxh64_intdigest(pack(found)) - (1 << 63))
                 sizes.append(n)
                 counted.append(counts(found))
+                fine.append(fine_counts(found))
                 first.append(found[np.argsort(rank, kind="stable")[:keep]])
-            new = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array(counted, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "fp", "n", "first", "counted"])
+            new = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array(counted, pa.binary()), pa.array(fine, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], ["doc_id", "text_hash", "node", "fp", "n", "first", "counted", "fine"])
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp bigint, n int, first array<bigint>, counted binary"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp bigint, n int, first array<bigint>, counted binary, fine binary"
     return materialize(rows.mapInArrow(compute, schema), "sets")
 
 
@@ -142,6 +158,11 @@ class Sets:
         rows = may_match(self.rows.filter("n > 0").select("node", "n", "first"), self.nodes.filter("rows > 1"), "node")
         return rows.filter("NOT maybe").drop("maybe").unionByName(rows.filter("maybe").groupBy("node").agg(F.first("n").alias("n"), F.first("first").alias("first")))
 
+    def fine(self, asked: DataFrame) -> DataFrame:
+        """(node, fine) of the nodes asked for."""
+        near = may_match(self.rows.select("node", "fine"), asked, "node").filter("maybe").drop("maybe")
+        return materialize(near.groupBy("node").agg(F.first("fine").alias("fine")), "fine")
+
     def packed(self, asked: DataFrame) -> DataFrame:
         """(node, packed) of the nodes asked for."""
         wanted = materialize(asked.join(self.nodes, "node").select("node", "text_hash"), "asked")
@@ -170,26 +191,45 @@ def _confirm(pairs: DataFrame, sets: Sets) -> DataFrame:
         for batch in batches:
             yield batch.select(["a", "b"]).filter(pa.array(may_link(batch.column("x").to_pylist(), batch.column("y").to_pylist())))
 
-    known = sets.nodes.select("node", "counted")
-    both = pairs.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
-    pairs = materialize(both.select("a", "b", "x", "y").mapInArrow(possible, "a bigint, b bigint"), "possible")
-    held = sets.packed(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node"))
-    both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
-    found = materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
-    discard(held)
-    discard(pairs)
+    def finely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [may_link_finely(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def both(pairs: DataFrame, of_node: DataFrame) -> DataFrame:
+        """The pairs with what ``of_node`` says of each side, as x and y."""
+        return pairs.join(of_node.toDF("a", "x"), "a").join(of_node.toDF("b", "y"), "b").select("a", "b", "x", "y")
+
+    def asked(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+    coarse = materialize(both(pairs, sets.nodes.select("node", "counted")).mapInArrow(possible, "a bigint, b bigint"), "possible")
+    fine = sets.fine(asked(coarse))
+    pairs = materialize(both(coarse, fine).mapInArrow(finely, "a bigint, b bigint"), "possible")
+    held = sets.packed(asked(pairs))
+    found = materialize(both(pairs, held).mapInArrow(run, "a bigint, b bigint"), "links")
+    for used in (coarse, fine, held, pairs):
+        discard(used)
     return found
 
 
-def _undecided(posts: DataFrame, roots: DataFrame) -> DataFrame:
-    """The posts (node, n, at, gram, root) of shingles whose nodes are not all in one class: no others can bring two classes together."""
-    now = posts.select("node", "n", "at", "gram").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = now.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("gram")
-    open_ = materialize(open_, "grams")
-    kept = materialize(may_match(now, open_, "gram").filter("maybe").drop("maybe").join(open_, "gram"), "posts")
-    discard(posts)
-    discard(open_)
-    return kept
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Add each node's root, itself if it has no links; only rows of nodes with links are shuffled, and a few more."""
+    rows = may_match(rows, roots, "node")
+    linked = rows.filter("maybe").drop("maybe").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return linked.unionByName(rows.filter("NOT maybe").drop("maybe").withColumn("root", F.col("node")))
+
+
+def _undecided(now: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The posts (node, n, at, gram, root) of shingles whose nodes are not all in one class, as no others can bring two classes together; and these shingles, with the pairs that meet there.
+
+    Some posts of other shingles come along (``may_match``); they meet nothing. The pairs of equal
+    root are estimated from a sum of signs that depend on the root: its square is right on average.
+    """
+    sign = F.pmod(F.xxhash64("root"), F.lit(2)) * 2 - 1
+    grams = now.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("posts"), F.sum(sign).alias("s")).filter("low <> high")
+    grams = materialize(grams.select("gram", "posts", ((F.col("posts") * F.col("posts") - F.col("s") * F.col("s")) / 2).alias("pairs")), "grams")
+    return materialize(may_match(now, grams, "gram").filter("maybe").drop("maybe"), "posts"), grams
 
 
 def close_copies(sets: Sets) -> DataFrame:
@@ -205,9 +245,7 @@ def classes(sets: Sets) -> DataFrame:
     """(node, root): a node that stands for its class, for every node with links."""
     links = close_copies(sets)
     roots = connected_components(links)
-    posts = sets.prefixes().select("node", "n", F.posexplode("first").alias("at", "gram"))
-    met = materialize(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("gram"), "grams")
-    posts = materialize(may_match(posts, met, "gram").filter("maybe").drop("maybe").join(met, "gram"), "posts")
+    now, grams = _undecided(_rooted(sets.prefixes(), roots).select("node", "n", "root", F.posexplode("first").alias("at", "gram")))
 
     def fits(x, y) -> Column:
         """Whether the sets can link if this is the first shingle that they share: what they share is not before it in either."""
@@ -215,20 +253,22 @@ def classes(sets: Sets) -> DataFrame:
         return (SIMILAR[0] + SIMILAR[1]) * most >= SIMILAR[0] * (x["n"] + y["n"])
 
     for star in range(STARS):
-        posts = _undecided(posts, roots)
-        blocks = posts.groupBy("gram", "root").count().groupBy("gram").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
-        met = blocks.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("posts")).first()
-        if not met.pairs or met.pairs <= MEETINGS * met.posts:
+        crowded = grams.filter(F.col("pairs") > MEETINGS * F.col("posts")).select("gram")
+        if crowded.isEmpty():
             break
-        center = posts.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(star)).alias("by"), "node", "n", "at", "root")).alias("c"))
-        pairs = posts.join(center, "gram").filter((F.col("root") != F.col("c.root")) & fits(posts, F.col("c")))
+        met = may_match(now, crowded, "gram").filter("maybe").drop("maybe")
+        center = met.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(star)).alias("by"), "node", "n", "at", "root")).alias("c"))
+        pairs = met.join(center, "gram").filter((F.col("root") != F.col("c.root")) & fits(met, F.col("c")))
         pairs = materialize(pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct(), "pairs")
         found = _confirm(pairs, sets)
         links = links.unionByName(found)
         roots = connected_components(links)
+        before = now, grams
+        now, grams = _undecided(_rooted(now.drop("root"), roots))
+        for used in before:
+            discard(used)
         if found.count() < YIELD * pairs.count():
             break
-    now = _undecided(posts, roots)
     # the smaller of two sets that link has its first common shingle in its first ninth
     x, y = now.filter((SIMILAR[0] + SIMILAR[1]) * F.col("at") <= (SIMILAR[1] - SIMILAR[0]) * F.col("n")).alias("x"), now.alias("y")
     larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") > F.col("x.node")))
