@@ -58,10 +58,16 @@ def pack(found: np.ndarray) -> bytes:
     return found.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
+def unpack(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return out.view("<i8").reshape(-1)
+
+
 def similar(a: bytes, b: bytes) -> bool:
     """Whether two packed sets link."""
-    x, y = (np.frombuffer(s, "V6") for s in (a, b))
-    both = len({*x.tolist()} & {*y.tolist()})
+    x, y = unpack(a), unpack(b)
+    both = len(np.intersect1d(x, y, assume_unique=True))
     return SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
 
 
@@ -226,10 +232,12 @@ def _undecided(now: DataFrame) -> tuple[DataFrame, DataFrame]:
     Some posts of other shingles come along (``may_match``); they meet nothing. The pairs of equal
     root are estimated from a sum of signs that depend on the root: its square is right on average.
     """
+    mixed = materialize(now.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("gram"), "mixed")
+    posts = materialize(may_match(now, mixed, "gram").filter("maybe").drop("maybe"), "posts")
+    discard(mixed)
     sign = F.pmod(F.xxhash64("root"), F.lit(2)) * 2 - 1
-    grams = now.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("posts"), F.sum(sign).alias("s")).filter("low <> high")
-    grams = materialize(grams.select("gram", "posts", ((F.col("posts") * F.col("posts") - F.col("s") * F.col("s")) / 2).alias("pairs")), "grams")
-    return materialize(may_match(now, grams, "gram").filter("maybe").drop("maybe"), "posts"), grams
+    grams = posts.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("posts"), F.sum(sign).alias("s")).filter("low <> high")
+    return posts, materialize(grams.select("gram", "posts", ((F.col("posts") * F.col("posts") - F.col("s") * F.col("s")) / 2).alias("pairs")), "grams")
 
 
 def close_copies(sets: Sets) -> DataFrame:
