@@ -19,6 +19,7 @@ _PATHS = re.compile(rf"\s*(?:({_QUOTED})|\[\s*({_QUOTED}(?:\s*,\s*{_QUOTED})*)\s
 _ARGUMENT = re.compile(rf"\s*,\s*(\w+)\s*(?:=|:=)\s*({_QUOTED}|[\w.+-]+)\s*")
 #: Options of a CSV call and those of Spark's reader.
 _CSV_OPTIONS = {"delim": "sep", "sep": "sep", "header": "header", "quote": "quote", "escape": "escape", "nullstr": "nullValue", "comment": "comment", "dateformat": "dateFormat", "timestampformat": "timestampFormat", "encoding": "encoding"}
+_ABSOLUTE = re.compile(r"/|[A-Za-z][A-Za-z0-9+.-]*:/")
 _NAME = re.compile(r'"((?:[^"]|"")+)"|([^".]+)')
 
 
@@ -66,7 +67,7 @@ def _call(kind: str, text: str) -> tuple[list[str], dict[str, str]]:
 def resolve(spark: SparkSession, source: str, base: str | None = None) -> DataFrame:
     """The DataFrame of a source text; relative paths and plain names are looked up under ``base`` first."""
     text = source.strip()
-    at = lambda path: path if base is None or "://" in path or path.startswith("/") else f"{base}/{path}"
+    at = lambda path: path if base is None or _ABSOLUTE.match(path) else f"{base}/{path}"
     if text.startswith("(") and text.endswith(")"):
         return spark.sql(checked_fragment(text[1:-1]))
     if m := _CALL.fullmatch(text):

@@ -22,21 +22,22 @@ def registry(spark):
 
 def test_stored_table_insert_and_filter(registry, tmp_path):
     registry.create_server("store", database=str(tmp_path / "one"))
-    registry.execute("store", "CREATE TABLE t (i INT, j BIGINT, d DOUBLE, s STRING) USING parquet")
-    registry.execute("store", "INSERT INTO t VALUES (1, 100, 3.14D, 'hello'), (2, 200, 6.28D, 'world')")
-    registry.create_table("mine", "store", {"i": "INTEGER", "j": "BIGINT", "d": "DOUBLE", "s": "VARCHAR"}, table="t")
-    assert [tuple(r) for r in registry.query("SELECT * FROM mine ORDER BY i").collect()] == [(1, 100, 3.14, "hello"), (2, 200, 6.28, "world")]
-    registry.insert("mine", registry.spark.sql("SELECT 'x' AS s, CAST(id AS INT) AS i, id * 10 AS j FROM range(4, 11)"))
-    assert registry.table("mine").count() == 9
-    assert tuple(registry.query("SELECT i, j, d, s FROM mine WHERE i = :i", {"i": 4}).first()) == (4, 40, None, "x")
-    assert tuple(registry.query("SELECT i, j FROM mine WHERE i = ?", [5]).first()) == (5, 50)
+    registry.execute("store", "CREATE TABLE lots (lot INT, weight BIGINT, share DOUBLE, note STRING) USING parquet")
+    registry.execute("store", f"INSERT INTO lots SELECT p_partkey, p_size, p_size / 64D, p_name FROM parquet.`{SF}/part.parquet` WHERE p_partkey <= 20")
+    registry.create_table("mine", "store", {"lot": "INTEGER", "weight": "BIGINT", "share": "DOUBLE", "note": "VARCHAR"}, table="lots")
+    parts = registry.spark.read.parquet(f"{SF}/part.parquet").filter("p_partkey <= 20").collect()
+    assert sorted(tuple(r) for r in registry.table("mine").collect()) == sorted((r.p_partkey, r.p_size, r.p_size / 64, r.p_name) for r in parts)
+    registry.insert("mine", registry.spark.sql("SELECT 'x' AS note, CAST(-id AS INT) AS lot, id * id AS weight FROM range(1, 8)"))
+    assert registry.table("mine").count() == len(parts) + 7
+    assert tuple(registry.query("SELECT lot, weight, share, note FROM mine WHERE lot = :n", {"n": -4}).first()) == (-4, 16, None, "x")
+    assert tuple(registry.query("SELECT lot, weight FROM mine WHERE lot = ?", [-5]).first()) == (-5, 25)
     with pytest.raises(ValueError):
         registry.insert("mine", registry.spark.sql("SELECT 1 AS nosuch"))
     assert registry.updatable("mine") == {"INSERT"}
     for refused in (registry.update, registry.delete):
         with pytest.raises(UnsupportedWriteError):
             refused("mine")
-    for sql in ("UPDATE t SET s = 'x'", "delete from t"):
+    for sql in ("UPDATE lots SET note = 'x'", "delete from lots"):
         with pytest.raises(UnsupportedWriteError):
             registry.execute("store", sql)
 
